@@ -30,10 +30,11 @@ def lines_of(text: Column) -> Column:
     """Array of ``(line, opens, closes)``: whether a line is the first, or the last, of a long paragraph."""
 
     def cut(paragraph: Column) -> Column:
-        parts = F.split(paragraph, r"(?<=[.!?] )")
         long = F.length(paragraph) - F.length(F.replace(paragraph, F.lit(" "))) + 1 >= LONG_WORDS
-        return F.transform(parts, lambda x, i: F.struct(
-            x.alias("line"), (long & (i == 0)).alias("opens"), (long & (i == F.size(parts) - 1)).alias("closes")))
+        # an array of one element binds what each line needs, so that it is computed once a paragraph
+        bound = F.array(F.struct(F.split(paragraph, r"(?<=[.!?] )").alias("parts"), long.alias("long")))
+        return F.get(F.transform(bound, lambda p: F.transform(p["parts"], lambda x, i: F.struct(
+            x.alias("line"), (p["long"] & (i == 0)).alias("opens"), (p["long"] & (i == F.size(p["parts"]) - 1)).alias("closes")))), 0)
 
     return F.filter(F.flatten(F.transform(F.split(text, r"(?<=\n)"), cut)), lambda x: x["line"] != "")
 
