@@ -26,3 +26,13 @@ def ship(spark: SparkSession) -> None:
         for path in sorted(root.rglob("*.py")):
             z.write(path, path.relative_to(root.parent).as_posix())
     context.addPyFile(str(target))
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The folder that the driver and executors share, from ``spark.checkpoint.dir``; a local session may do without."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="docrel-work-")
