@@ -33,11 +33,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(u, v)`` links to ``(node, component)``; the component is the smallest node reachable.
 
-    Each round points every node at the smallest node next to it, follows these pointers twice more and
-    contracts the links to what they point at, until no link is left. A round keeps at most a quarter of
-    a path, so rounds grow with the logarithm of the longest path. Links with a null end and loops are
-    ignored; nodes without links do not appear. Whatever the size, links stay distributed: all joins are
-    on a node against one row for each node, which adaptive execution can split on a hot node.
+    Each round points every node at the smallest node next to it, doubles these pointers until all name
+    a node that points at itself, and contracts the links to these nodes, until no link is left. No two
+    neighbours both point at themselves, so a round leaves half the nodes at most, and doubling takes the
+    logarithm of the longest chain of pointers. Links with a null end and loops are ignored; nodes without
+    links do not appear. Whatever the size, links stay distributed: all joins are on a node against one
+    row for each node, which adaptive execution can split on a hot node.
     """
     ends = edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     left = checkpointed(edges.where("u IS NOT NULL AND v IS NOT NULL AND u <> v").select(
@@ -46,9 +47,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while not left.isEmpty():
         near = left.select(F.col("u").alias("node"), F.col("v").alias("by")).union(left.select("v", "u"))
         to = checkpointed(near.groupBy("node").agg(F.least("node", F.min("by")).alias("root")))
-        for _ in range(2):
-            to = checkpointed(_follow(to, to))
-        labels = to if labels is None else checkpointed(_follow(labels, to))
+        while True:
+            further = checkpointed(_follow(to, to).select("node", "root", "moved"))
+            to = further.select("node", "root")
+            if further.where("moved").isEmpty():
+                break
+        labels = to if labels is None else checkpointed(_follow(labels, to).select("node", "root"))
         at_u = left.join(to.select(F.col("node").alias("u"), F.col("root").alias("a")), "u")
         at_v = at_u.join(to.select(F.col("node").alias("v"), F.col("root").alias("b")), "v")
         left = checkpointed(at_v.where("a <> b").select(
@@ -60,4 +64,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 def _follow(labels: DataFrame, to: DataFrame) -> DataFrame:
     nxt = to.select(F.col("node").alias("root"), F.col("root").alias("next"))
-    return labels.join(nxt, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    root = F.coalesce("next", "root")
+    return labels.join(nxt, "root", "left").select("node", root.alias("root"), (root != F.col("root")).alias("moved"))
