@@ -61,6 +61,10 @@ def labelled_samples(seed: int = 7, each: int = 3000) -> list[tuple[str, int]]:
     return out
 
 
+SPANS = "array<struct<start:int,rank:int,end:int,kind:string,token:string>>"
+BLOCK = 500
+
+
 def symbols_of(text: Column) -> Column:
     """Every character of ``text`` as one of SYMBOLS."""
     return F.regexp_replace(F.regexp_replace(text, "[0-9]", "0"), "[^A-Za-z0]", "_")
@@ -105,12 +109,9 @@ def gains(samples: DataFrame) -> list[int]:
     return [r.gain for r in train(samples).orderBy("id").collect()]
 
 
-def _found(text: Column, pattern: str, kind: str, rank: int, passes) -> Column:
-    """Spans of the matches of ``pattern``, left to right, that pass."""
-    empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,token:string>>")
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern)
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+def _found(hits: Column, gaps: Column, kind: str, rank: int, passes) -> Column:
+    """Spans of the matches of a pattern, left to right, that pass, from the matches and the texts between them."""
+    empty = F.array().cast(SPANS)
 
     def step(acc, i):
         start = acc["at"] + F.length(F.get(gaps, i))
@@ -118,7 +119,13 @@ def _found(text: Column, pattern: str, kind: str, rank: int, passes) -> Column:
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), F.get(hits, i).alias("token"))
         return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
 
-    spans = F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), zero, step)["out"]
+    def block(acc, k):
+        # appending copies an array, so that long lists are made in blocks
+        inner = F.aggregate(F.sequence(k * BLOCK, F.least(k * BLOCK + BLOCK, F.size(hits)) - 1), F.struct(acc["at"].alias("at"), empty.alias("out")), step)
+        return F.transform(F.array(inner), lambda x: F.struct(x["at"].alias("at"), F.array_append(acc["out"], x["out"]).alias("out")))[0]
+
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("out"))
+    spans = F.flatten(F.aggregate(F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / BLOCK).cast("int")), none, block)["out"])
     return F.filter(F.when(F.size(hits) > 0, spans).otherwise(empty), passes)
 
 
@@ -145,18 +152,19 @@ def scan(docs: DataFrame, table: list[int], key: str = "doc_id", text: str = "te
         "access": lambda s: F.length(s["token"]) >= LEAST["access"],
         "hex": lambda s: F.length(s["token"]) >= LEAST["hex"]}
     # maximal runs of 16 and more are the runs of HEX that pass
-    based = hinted.select("key", "for_random", *[
-        _found(F.col(f"for_{kind}"), pattern, kind, rank, long_enough[kind]).alias(kind)
-        for rank, (kind, pattern) in enumerate((("assign", ASSIGN), ("access", ACCESS), ("hex", "[0-9a-f]{16,}")))])
+    kinds = {"assign": ASSIGN, "access": ACCESS, "hex": "[0-9a-f]{16,}", "random": TOKEN}
+    cut = hinted.select("key", *[c for k, p in kinds.items() for c in (
+        F.regexp_extract_all(F.col(f"for_{k}"), F.lit(p), F.lit(0)).alias(f"hits_{k}"), F.split(F.col(f"for_{k}"), p).alias(f"gaps_{k}"))])
+    tokens = cut.select("key", *[_found(F.col(f"hits_{k}"), F.col(f"gaps_{k}"), k, rank, long_enough.get(k, lambda s: F.lit(True))).alias("tokens" if k == "random" else k)
+                                 for rank, k in enumerate(kinds)])
     values = F.lit(table)
 
     def gain(token):
-        s = symbols_of(token)
-        spot = lambda i: F.call_function("locate", F.substring(s, i, F.lit(1)), F.lit(SYMBOLS)) - 1
-        return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0),
-                           lambda acc, i: acc + F.get(values, spot(i) * n + spot(i + F.lit(1))))
+        # codes are an array, made once a token: characters of a text can only be reached by counting from its start
+        codes = F.transform(F.filter(F.split(symbols_of(token), ""), lambda c: c != ""), lambda c: F.call_function("locate", c, F.lit(SYMBOLS)) - 1)
+        total = lambda c: F.aggregate(F.sequence(F.lit(1), F.size(c) - 1), F.lit(0), lambda acc, i: acc + F.get(values, F.get(c, i - 1) * n + F.get(c, i)))
+        return F.transform(F.array(codes), total)[0]
 
-    tokens = based.withColumn("tokens", _found(F.col("for_random"), TOKEN, "random", 3, lambda s: F.lit(True)))
     base = tokens.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
     scored = base.withColumn("random", F.filter("tokens", lambda t: ~F.exists(
         "base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])) & (gain(t["token"]) >= MARGIN * (F.length(t["token"]) - 1))))
