@@ -107,19 +107,22 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **s
     """
     small, repeated = repeated_chunks(docs, key, text, **settings)
     goes = small.join(repeated, "hash").where(F.col("again") | ~F.col("key").eqNullSafe(F.col("first")))
-    gone = checkpointed(goes.groupBy("key", "row").agg(F.collect_set("n").alias("__gone")).select(F.col("key").alias("__key"), F.col("row").alias("__row"), "__gone"))
+    gone = checkpointed(goes.groupBy("key", "row").agg(F.array_sort(F.collect_set("n")).alias("__gone")).select(F.col("key").alias("__key"), F.col("row").alias("__row"), "__gone"))
     own = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     met = own.join(gone, (F.col("__own") == F.col("__row")) & F.col(key).eqNullSafe(F.col("__key")), "left")
     names = [c for c in docs.columns if c != text]
     carried = met.select(F.col(key).alias("__id"), F.col(text).alias("__text"), F.coalesce("__gone", F.array().cast("array<int>")).alias("__gone"), F.struct(*names).alias("__rest"))
     cut = _chunk_bodies(carried, "__text")
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("next"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
 
     def step(acc, x):
-        end = acc["at"] + F.length(x["body"])
-        return F.struct(end.alias("at"), F.when(F.array_contains("__gone", x["n"]), F.array_append(acc["spans"], F.struct(acc["at"].alias("start"), end.alias("end")))).otherwise(acc["spans"]).alias("spans"))
+        # gone numbers are in order, so that one look tells whether this chunk is among them
+        end, goes = acc["at"] + F.length(x["body"]), F.coalesce(F.get("__gone", acc["next"]) == x["n"], F.lit(False))
+        return F.struct(end.alias("at"), (acc["next"] + goes.cast("int")).alias("next"), F.when(
+            goes, F.array_append(acc["spans"], F.struct(acc["at"].alias("start"), end.alias("end")))).otherwise(acc["spans"]).alias("spans"))
 
-    kept = F.array_join(F.transform(F.filter("parts", lambda x: ~F.array_contains("__gone", x["n"])), lambda x: x["body"]), "")
+    stays = F.array_except(F.transform("parts", lambda x: x["n"]), F.col("__gone"))
+    kept = F.array_join(F.transform(stays, lambda i: F.get("parts", i)["body"]), "")
     removed = F.when(F.size("__gone") > 0, F.aggregate("parts", zero, step)["spans"]).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
     out = cut.select("__rest", F.when(F.size("__gone") == 0, F.col("__text")).otherwise(kept).alias("__clean"), F.size("parts").alias("__n_chunks"), removed.alias("__removed"))
     return out.select(*[(F.col("__clean") if c == text else F.col("__rest")[c]).alias(c) for c in docs.columns], "__n_chunks", "__removed")
