@@ -105,7 +105,7 @@ def path_predicates(plan: FlattenPlan, path: str, id_value: Any) -> dict[str, di
             at += array
             names.append("_".join(at))
         columns = [*table.ancestors, *([] if table.is_root else ["idx"])]
-        found = {table.id_name: id_value} if table.id_name else {}
+        found = {table.id_name: id_value}
         out[table.name] = found | {c: positions[n] for c, n in zip(columns, names, strict=True) if n in positions}
     return {target: out.pop(target), **out} if target in out else {}
 

@@ -21,14 +21,15 @@ def parse(docs: DataFrame, text: str = "doc") -> DataFrame:
     return docs.withColumn(text, F.try_parse_json(F.col(text)))
 
 
-def _id(plan: FlattenPlan, doc: Column) -> Column:
+def document_id(plan: FlattenPlan, doc: Column) -> Column:
+    """The id of a document; a number by its place in the input where the schema has none."""
     column = next((c for c in plan.root.columns if c.name == plan.root.id_name), None)
     return extract.leaf(doc, column) if column else F.monotonically_increasing_id() + 1
 
 
 def _elements(docs: DataFrame, plan: FlattenPlan, table: TablePlan, doc: str, key: Column | None = None) -> DataFrame:
     """``__id``, ``__e`` (the element) and ``__p0, __p1, ...`` (positions from 1) of a table's rows."""
-    own = _id(plan, F.col(doc)) if key is None else key
+    own = document_id(plan, F.col(doc)) if key is None else key
     rows = docs.where(F.col(doc).isNotNull()).select(own.alias("__id"), F.col(doc).alias("__e"))
     for depth, path in enumerate(table.arrays):
         array = F.try_variant_get(F.col("__e"), extract.variant_path(path), "array<variant>")
@@ -43,9 +44,7 @@ def flatten(docs: DataFrame, plan: FlattenPlan, table: str, doc: str = "doc") ->
     """The rows of one table from VARIANT documents in the column ``doc``."""
     own = plan.tables[table]
     rows = _elements(docs, plan, own, doc)
-    found: dict[str, Column] = {c.name: extract.leaf(F.col("__e"), c) for c in own.columns}
-    if own.id_name:
-        found[own.id_name] = F.col("__id")
+    found: dict[str, Column] = {own.id_name: F.col("__id")} | {c.name: extract.leaf(F.col("__e"), c) for c in own.columns}
     found |= {name: F.col(f"__p{i}") for i, name in enumerate([*own.ancestors, *([] if own.is_root else ["idx"])])}
     return rows.select(*[found[c].alias(c) for c in own.column_names()])
 
@@ -100,9 +99,7 @@ def flatten_partial(values: DataFrame, plan: FlattenPlan, path: str, value: str
         if flat[: len(names)] != names:
             continue
         rows = _elements(docs, plan, table, "doc", F.col("__key"))
-        found: dict[str, Column] = {c.name: extract.leaf(F.col("__e"), c) for c in table.columns}
-        if table.id_name:
-            found[table.id_name] = F.col("__id")
+        found: dict[str, Column] = {c.name: extract.leaf(F.col("__e"), c) for c in table.columns} | {table.id_name: F.col("__id")}
         paths, seen = [], [plan.collection]
         for array in table.arrays:
             seen += list(array)

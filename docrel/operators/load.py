@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docrel.functions import codec
-from docrel.operators.flatten import flatten_all, parse
+from docrel.operators.flatten import document_id, flatten_all, parse
 from docrel.plans.ddl import script
 from docrel.plans.schema import FlattenPlan
 
@@ -44,10 +44,8 @@ def init_load(texts: DataFrame, plan: FlattenPlan, folder: str, doc: str = "doc"
     """
     spark = texts.sparkSession
     docs = parse(texts.select(doc), doc).where(F.col(doc).isNotNull())
-    if plan.root.id_name:
-        from docrel.operators.flatten import _id
-
-        keyed = docs.select(_id(plan, F.col(doc)).alias("__id"), F.to_json(doc).alias("__text"))
+    if plan.root.id_name != "idx":
+        keyed = docs.select(document_id(plan, F.col(doc)).alias("__id"), F.to_json(doc).alias("__text"))
         docs = keyed.groupBy("__id").agg(F.min("__text").alias(doc)).select(doc)
         docs.write.mode("overwrite").parquet(f"{folder}/_documents")
         docs = parse(spark.read.parquet(f"{folder}/_documents"), doc)

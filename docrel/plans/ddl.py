@@ -19,7 +19,7 @@ def drop_table(table: str, schema: str = "", prefix: str = "") -> str:
 def column_types(plan: FlattenPlan, table: str) -> dict[str, str]:
     """Columns in order with their SQL types."""
     own = plan.tables[table]
-    types = {c.name: c.sql for c in own.columns} | ({} if own.is_root or own.id_name is None else {own.id_name: plan.id_sql()})
+    types = {c.name: c.sql for c in own.columns} | ({} if own.is_root else {own.id_name: plan.id_sql()})
     return {c: types.get(c, "BIGINT") for c in own.column_names()}
 
 
@@ -34,7 +34,7 @@ INDEXES = ("a", "b", "c")
 
 def index_columns(plan: FlattenPlan, table: str, kind: str) -> list[str]:
     own = plan.tables[table]
-    ids = [own.id_name] if own.id_name else []
+    ids = [own.id_name]
     positions = {"a": [*own.ancestors, *([] if own.is_root else ["idx"])], "b": list(own.ancestors), "c": []}[kind]
     return sorted([*ids, *positions])
 

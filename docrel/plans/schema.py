@@ -59,7 +59,7 @@ class TablePlan:
     arrays: tuple[tuple[str, ...], ...]  # paths of the arrays from the document inwards, each from the element before
     ancestors: tuple[str, ...]  # index columns of the arrays above
     columns: tuple[ColumnPlan, ...]  # own data, by name
-    id_name: str | None  # the column that holds the document's id; None if the document has none
+    id_name: str  # the column that holds the document's id
     tree: Any = field(compare=False, repr=False, default=None)
 
     @property
@@ -69,8 +69,9 @@ class TablePlan:
     def column_names(self) -> list[str]:
         """Data with the document's id by name, then ancestor positions, outermost first, then the own position."""
         own = [c.name for c in self.columns]
-        ids = [] if self.is_root or self.id_name is None else [self.id_name]
-        return [*sorted({*own, *ids}), *self.ancestors, *([] if self.is_root else ["idx"])]
+        counted = self.is_root and self.id_name not in own  # a document without an id is known by a number
+        ids = [] if self.is_root else [self.id_name]
+        return [*sorted({*own, *ids}), *self.ancestors, *(["idx"] if counted or not self.is_root else [])]
 
 
 def columns_of(tree: Any, base: tuple[str, ...] = (), prefix: str = "") -> Iterator[ColumnPlan]:
@@ -116,8 +117,8 @@ class FlattenPlan:
             columns = list(columns_of(element))
         else:
             columns = [ColumnPlan(cleaned[-1], (), scalar(element), SCALARS[scalar(element)][2])]
-        first = self.id_columns[0][0] if self.id_columns else None
-        root_id = first if not arrays else f"{clean_name(self.collection) or self.collection}_{first}" if first else None
+        first = self.id_columns[0][0]
+        root_id = f"{clean_name(self.collection) or self.collection}_{first}" if arrays else first
         self.tables[name] = TablePlan(name, arrays, ancestors, tuple(sorted(columns, key=lambda c: c.name)), root_id, element)
         if not isinstance(element, dict) or is_object_id(element):
             return
@@ -140,7 +141,7 @@ class FlattenPlan:
         """The Spark schema of a table."""
         plan, types = self.tables[table], {c.name: c.data_type for c in self.tables[table].columns}
         own = next((c.data_type for c in self.root.columns if c.name == self.root.id_name), T.LongType())
-        kinds = types | ({plan.id_name: own} if plan.id_name else {})
+        kinds = {plan.id_name: own} | types
         return T.StructType([T.StructField(c, kinds.get(c, T.LongType())) for c in plan.column_names()])
 
 
@@ -153,7 +154,7 @@ def id_columns(tree: Any) -> list[tuple[str, str]]:
     for _, kind in held:
         if isinstance(kind, str):
             return [("id", scalar(kind))]
-    return []
+    return [("idx", "BIGINT")]
 
 
 def parse_schema(text: str, collection: str) -> FlattenPlan:

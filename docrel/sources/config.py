@@ -66,7 +66,7 @@ def structure(names: list[str], base: str) -> dict[str, dict[str, str]]:
 def replicas(config: configparser.ConfigParser, base: str = "mongo-oplog") -> dict[str, list[StoreSettings]]:
     """The hosts of each shard; a single store or replica set is the shard named by ``base``."""
     found = structure(sections(config, base), base)
-    return {shard or base: [store_settings(config, s) for _, s in sorted(own.items())] for shard, own in found.items()}
+    return {f"{base}-{shard}" if shard else base: [store_settings(config, s) for _, s in sorted(own.items())] for shard, own in found.items()}
 
 
 def store_uri(settings: list[StoreSettings]) -> str:

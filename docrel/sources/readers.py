@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from docrel.functions import codec, find
 from docrel.functions.extract import at, kind_of
 from docrel.operators import oplog
-from docrel.operators.flatten import flatten_all
+from docrel.operators.flatten import document_id, flatten_all
 from docrel.plans.schema import FlattenPlan
 
 
@@ -23,13 +23,6 @@ def read_documents(spark: SparkSession, path: str, file_format: str = "json", co
     return spark.read.format(file_format).load(path).select(F.try_parse_json(column).alias(column))
 
 
-def variant_field(path: str, column: str = "doc"):
-    """The column of a dotted path of VARIANT documents, for filters: as text, but numbers as doubles and booleans as such."""
-    from docrel.functions.extract import variant_path
-
-    return F.try_variant_get(F.col(column), variant_path(path.split(".")), "string")
-
-
 def find_documents(docs: DataFrame, query: Mapping[str, Any], projection: Sequence[str] | None = None, column: str = "doc") -> DataFrame:
     """Documents that a filter matches; with a projection, the named fields as VARIANT columns.
 
@@ -76,9 +69,7 @@ def find_documents(docs: DataFrame, query: Mapping[str, Any], projection: Sequen
 def tables_by_ids(docs: DataFrame, ids: DataFrame, plan: FlattenPlan, column: str = "doc") -> dict[str, DataFrame]:
     """All tables of the documents whose id is in the column ``id`` of ``ids``."""
     wanted = ids.select(F.col("id").alias("__id")).distinct()
-    from docrel.operators.flatten import _id
-
-    chosen = docs.withColumn("__id", _id(plan, F.col(column))).join(wanted, "__id", "left_semi")
+    chosen = docs.withColumn("__id", document_id(plan, F.col(column))).join(wanted, "__id", "left_semi")
     return flatten_all(chosen, plan, column)
 
 
