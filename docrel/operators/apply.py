@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docrel.plans.naming import is_index
@@ -90,15 +90,16 @@ def fold_json(states: Column, ops: Column) -> Column:
 
 
 def since_reset(records: DataFrame) -> DataFrame:
-    """Records from the last reset of their document on. Windows keep one exchange by document."""
-    update = F.try_parse_json("o")
-    partial = (F.col("op") == "u") & (F.try_variant_get(update, "$['$set']", "variant").isNotNull() | F.try_variant_get(update, "$['$unset']", "variant").isNotNull())
-    whole = Window.partitionBy("collection", "rec_id")
+    """Records from the last insert or delete of their document on.
+
+    The last reset is an aggregate, so a document with very many records combines before the exchange, and the join
+    with one row a document is one that adaptive execution can split. A replacement is no reset: it keeps the id and
+    has no effect on an absent document.
+    """
     at = F.struct(F.col("ts.t").alias("t"), F.col("ts.i").alias("i"), F.col("shard").alias("s"))
-    # a replacement keeps the id and has no effect on an absent document, so only inserts and deletes reset
-    marked = records.withColumns({"__at": at, "__reset": ~partial & F.col("op").isin("i", "d")})
-    last = marked.withColumn("__last", F.max(F.when(F.col("__reset"), F.col("__at"))).over(whole))
-    return last.where(F.col("__last").isNull() | (F.col("__at") >= F.col("__last"))).drop("__at", "__reset", "__last")
+    last = records.where(F.col("op").isin("i", "d")).groupBy("collection", "rec_id").agg(F.max(at).alias("__last"))
+    met = records.withColumn("__at", at).join(last, ["collection", "rec_id"], "left")
+    return met.where(F.col("__last").isNull() | (F.col("__at") >= F.col("__last"))).select(*records.columns)
 
 
 def apply(state: DataFrame, records: DataFrame) -> DataFrame:

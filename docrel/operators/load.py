@@ -12,6 +12,8 @@ from docrel.plans.schema import FlattenPlan
 
 #: Bytes of a chunk of text files.
 CHUNK_BYTES = 100 << 20
+#: Ranges in which lines are counted.
+RANGES = 256
 
 
 def first_of_each(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -21,14 +23,20 @@ def first_of_each(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame
     return found.select(*[F.col(c) if c in keys else F.col(f"__first.{c}").alias(c) for c in rows.columns])
 
 
-def chunk_numbers(rows: DataFrame, order: list[str], line: str = "value", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def chunk_numbers(rows: DataFrame, order: str, line: str = "value", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``rows`` with ``chunk``: which file a line comes into if files are filled in order and closed at ``chunk_bytes``.
 
-    A running sum over the whole order, in one task; it is for reports on small tables. ``write_tsv`` has no need of it.
+    ``order`` is a numeric column that tells rows apart. Rows fall into ranges of it; the bytes of a range come from a
+    table of RANGES rows, those before a line in its range from a window over the range, so no task sees all rows.
     """
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    size = F.coalesce(F.sum(F.octet_length(line) + 1).over(before), F.lit(0))
-    return rows.withColumn("chunk", F.floor(size / chunk_bytes).cast("long"))
+    cuts = rows.approxQuantile(order, [i / RANGES for i in range(1, RANGES)], 0.2 / RANGES) if RANGES > 1 else []
+    place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(order))) if cuts else F.lit(0)
+    placed = rows.withColumns({"__range": place, "__bytes": F.octet_length(line) + 1})
+    below = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("__range").agg(F.sum("__bytes").alias("__sum")).select("__range", F.coalesce(F.sum("__sum").over(below), F.lit(0)).alias("__start"))
+    before = Window.partitionBy("__range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    size = F.col("__start") + F.coalesce(F.sum("__bytes").over(before), F.lit(0))
+    return placed.join(starts, "__range").withColumn("chunk", F.floor(size / chunk_bytes).cast("long")).select(*rows.columns, "chunk")
 
 
 def write_tsv(rows: DataFrame, folder: str, max_rows: int = 0) -> None:

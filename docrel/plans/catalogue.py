@@ -268,7 +268,7 @@ def tsv_roundtrip(spark, sf):
 def tsv_chunks(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text").where("doc_id IS NOT NULL")
     line = F.concat_ws("\t", *[F.coalesce(codec.escape(F.col(c)), F.lit(codec.NULL)) for c in docs.columns])
-    return load.chunk_numbers(docs.select("doc_id", line.alias("value")), ["doc_id"], chunk_bytes=100_000).select("doc_id", "chunk")
+    return load.chunk_numbers(docs.select("doc_id", line.alias("value")), "doc_id", chunk_bytes=100_000).select("doc_id", "chunk")
 
 
 @entry("SELECT 'orders' AS \"table\", count(*) AS n FROM orders UNION ALL SELECT 'order_lines', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
