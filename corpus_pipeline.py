@@ -23,9 +23,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each SimHash component, over shingles of five words."""
+    """Keeps one document of each group of texts whose sets of five-word shingles are similar by 0.8 or more."""
     ship(spark)
-    return simhash.deduplicate(docs, words=5)
+    return simhash.deduplicate(docs)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -102,31 +102,139 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def _component_table(rows: DataFrame) -> DataFrame:
-    """``fp, component, component_id`` of each fingerprint of ``key, fp``; component is the smallest fingerprint."""
+    """``fp, component_id`` of each fingerprint of ``key, fp``."""
     prints = checkpointed(rows.groupBy("fp").agg(F.min("key").alias("least")))
     parts = connected_components(near_prints(prints))
     known = checkpointed(prints.join(parts.select(F.col("node").alias("fp"), "component"), "fp", "left")
                          .withColumn("component", F.coalesce("component", "fp")))
     least = checkpointed(known.groupBy("component").agg(F.min("least").alias("component_id")))
-    return checkpointed(known.join(least, "component").select("fp", "component", "component_id"))
+    return checkpointed(known.join(least, "component").select("fp", "component_id"))
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """One row of each component of ``docs``, with all its columns: that with the smallest key.
+# --- similarity of shingle sets ------------------------------------------------------------------------------------------
 
-    Of rows that repeat this key, or where a component has null keys only, the one with the smallest hash of key and
-    text stays (of wholly equal rows any one). Survivors are found on keys and hashes; texts move once, to meet them.
+#: Words of a shingle and least Jaccard similarity of two texts' sets of shingles.
+SET_WORDS, SIMILARITY = 5, 0.8
+#: Bits of a wide fingerprint; bits of a band, bands; most bits by which candidates differ. At similarity 0.8 bits differ
+#: with probability 0.15 each (39 of 256, standard deviation 6): a band of 16 agrees with probability 0.072, none of 80
+#: with 0.003, and more than 62 bits differ with 0.0001. At 0.85 no band agrees with probability 0.0001. Unrelated texts
+#: agree in a band with probability 1.5e-5; a corpus of more than some ten million texts asks for longer and more bands.
+WIDE, BAND_BITS, BANDS, WIDE_DISTANCE = 256, 16, 80, 62
+
+
+def shingle_set(text: str | None, words: int = SET_WORDS) -> np.ndarray:
+    """Sorted distinct hashes (signed) of a text's shingles; words as in ``fingerprint``. Empty for a text without words."""
+    found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    if not found:
+        return np.zeros(0, np.int64)
+    joined, hashed = b" ".join(found), xxhash.xxh64_intdigest
+    if len(found) <= words:
+        return np.array([hashed(joined, 42)], "<u8").view(np.int64)
+    ends = np.cumsum([len(w) + 1 for w in found]) - 1
+    starts = np.concatenate([[0], ends[: len(found) - words] + 1]).tolist()
+    view = memoryview(joined)
+    return np.unique(np.fromiter((hashed(view[a:b], 42) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)), "<u8", len(starts)).view(np.int64))
+
+
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """Four longs: majorities over the bits of each hash and of three mixtures of it."""
+    ones, n = np.zeros(WIDE, np.int64), len(hashes)
+    for i in range(0, n, 16384):
+        h = hashes[i : i + 16384].view(np.uint64)
+        mixed = np.empty((len(h), WIDE // 64), "<u8")
+        for j in range(WIDE // 64):
+            mixed[:, j] = h
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            h = h ^ (h >> np.uint64(29))
+        ones += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > n, bitorder="little").view("<i8")
+
+
+def _set_prints(text, words: int):
+    """Column: ``sid`` (which stands for the set of shingles; 0 for none) and the wide fingerprint ``f0`` to ``f3``."""
+
+    @F.pandas_udf("sid long, f0 long, f1 long, f2 long, f3 long")
+    def each(texts: pd.Series) -> pd.DataFrame:
+        out = np.zeros((len(texts), 5), np.int64)
+        for i, t in enumerate(texts):
+            hashes = shingle_set(t, words)
+            if len(hashes):
+                out[i, 0] = np.array([xxhash.xxh64_intdigest(hashes.tobytes())], "<u8").view(np.int64)[0]
+                out[i, 1:] = wide_fingerprint(hashes)
+        return pd.DataFrame(out, columns=["sid", "f0", "f1", "f2", "f3"])
+
+    return each(text)
+
+
+def _sets(text, words: int):
+    @F.pandas_udf("array<long>")
+    def each(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(t, words) for t in texts])
+
+    return each(text)
+
+
+def _bands(*prints):
+    """Column: one number for each band; bands take fixed random bits of the wide fingerprint."""
+
+    @F.pandas_udf("array<int>")
+    def each(f0: pd.Series, f1: pd.Series, f2: pd.Series, f3: pd.Series) -> pd.Series:
+        rng = np.random.default_rng(33)
+        places = [rng.choice(WIDE, BAND_BITS, replace=False) for _ in range(BANDS)]
+        bits = np.unpackbits(np.stack([f0, f1, f2, f3], axis=1).astype("<i8").view(np.uint8), axis=1, bitorder="little").astype(np.int32)
+        powers = 1 << np.arange(BAND_BITS, dtype=np.int32)
+        return pd.Series(list(np.stack([bits[:, p] @ powers + (t << BAND_BITS) for t, p in enumerate(places)], axis=1)))
+
+    return each(*prints)
+
+
+def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int, similarity: float) -> DataFrame:
+    """``(u, v)`` of the ``sid`` of all texts whose sets have a Jaccard similarity of ``similarity`` or more.
+
+    The words of a band are its anchors (a code of covering radius 0), met with threshold 0. Classes of equal sets meet
+    once; those whose wide fingerprints are near are candidates, and their whole sets decide. Only texts of candidates
+    give sets, one text for each class.
+    """
+    prints = ["f0", "f1", "f2", "f3"]
+    classes = checkpointed(rows.groupBy("sid", *prints).agg(F.min("hash").alias("hash")))
+    spots = classes.where("sid <> 0").select("sid", *prints, F.explode(_bands(*[F.col(f) for f in prints])).alias("band"))
+    a, b = (spots.select("band", F.col("sid").alias(n), *[F.col(f).alias(f"{n}{f}") for f in prints]) for n in "uv")
+    differ = sum((F.bit_count(F.col(f"u{f}").bitwiseXOR(F.col(f"v{f}"))) for f in prints), F.lit(0))
+    near = checkpointed(a.join(b, "band").where((F.col("u") < F.col("v")) & (differ <= WIDE_DISTANCE)).select("u", "v").distinct())
+    nodes = near.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
+    chosen = checkpointed(classes.join(nodes, "sid").select(F.col("hash").alias("__hash"), F.col("sid").alias("__sid")))
+    met = docs.select(hashed.alias("__hash"), F.col(text).alias("__text")).join(chosen, "__hash")
+    # rows that repeat a text give its set several times
+    sets = checkpointed(met.select("__sid", _sets(F.col("__text"), words).alias("__set")).groupBy("__sid").agg(F.max("__set").alias("__set")))
+    left, right = (sets.select(F.col("__sid").alias(n), F.col("__set").alias(f"set_{n}"), F.size("__set").alias(f"n_{n}")) for n in "uv")
+    both = near.join(left, "u").join(right, "v")
+    shared = F.size(F.array_intersect("set_u", "set_v"))
+    return both.where(shared >= similarity * (F.col("n_u") + F.col("n_v") - shared)).select("u", "v")
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SET_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """One row of each group of similar texts, with all columns of ``docs``: that with the smallest key.
+
+    Texts link if their sets of word shingles have a Jaccard similarity of ``similarity`` or more; a group is what links
+    reach. Null and empty texts are equal. Of rows that repeat the smallest key, or where a group has null keys only, the
+    one with the smallest hash of key and text stays (of wholly equal rows any one). Survivors are found on keys and
+    hashes; texts move once, to meet them. An empty table gives no rows.
     """
     hashed = F.xxhash64(F.col(key), F.col(text))
-    rows = checkpointed(docs.select(F.col(key).alias("key"), fingerprints(F.col(text), words).alias("fp"), hashed.alias("hash")))
-    heads = rows.join(_component_table(rows), "fp").where(F.col("key").eqNullSafe(F.col("component_id")))
+    found = docs.select(F.col(key).alias("key"), _set_prints(F.col(text), words).alias("p"), hashed.alias("hash"))
+    rows = checkpointed(found.select("key", "hash", "p.*"))
+    parts = connected_components(similar_sets(docs, rows, text, hashed, words, similarity))
+    classes = checkpointed(rows.groupBy("sid").agg(F.min("key").alias("least")).join(parts.select(F.col("node").alias("sid"), "component"), "sid", "left")
+                           .withColumn("component", F.coalesce("component", "sid")))
+    least = checkpointed(classes.groupBy("component").agg(F.min("least").alias("least")))
+    table = checkpointed(classes.drop("least").join(least, "component"))
+    heads = rows.join(table, "sid").where(F.col("key").eqNullSafe(F.col("least"))).groupBy("component", "hash", "key").agg(F.count(F.lit(1)).alias("n"))
+    heads = checkpointed(heads)
     chosen = heads.groupBy("component").agg(F.min("hash").alias("hash"))
-    named = heads.join(chosen, ["component", "hash"]).groupBy("component", "hash", "key").agg(F.count(F.lit(1)).alias("n"))
-    named = checkpointed(named.select(F.col("hash").alias("__hash"), F.col("key").alias("__key"), "n"))
+    named = checkpointed(heads.join(chosen, ["component", "hash"]).select(F.col("hash").alias("__hash"), F.col("key").alias("__key"), "n"))
     own, other = docs.withColumn("__hash", hashed).alias("own"), named.alias("other")
     same = (F.col("own.__hash") == F.col("other.__hash")) & F.col(f"own.{key}").eqNullSafe(F.col("other.__key"))
     kept = own.join(other, same, "left_semi")
     if not named.where("n > 1").isEmpty():
         kept = kept.dropDuplicates(["__hash", key])
     return kept.drop("__hash")
-
