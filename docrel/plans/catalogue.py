@@ -305,6 +305,40 @@ def find_projection(spark, sf):
     return found.select(strict(F.col("_id"), "LONG").alias("id"), strict(F.col("status"), "STRING").alias("status"))
 
 
+@entry(f"SELECT l_orderkey AS orders_id, l_linenumber AS number, l_partkey AS part, idx FROM ({NUMBERED}) WHERE l_orderkey = 7 AND idx = 3")
+def find_by_path(spark, sf):
+    predicates = find.path_predicates(ORDERS, "lines.2", 7)["order_lines"]
+    return flat.flatten(parsed(order_docs(spark, sf)), ORDERS, "order_lines").where(find.where(predicates)).select("orders_id", "number", "part", "idx")
+
+
+@entry(literal_sql([("order_lines", "(idx=(%s)) and (orders_id=(%s))")], ["table_name", "template"]))
+def where_templates(spark, sf):
+    return values(spark, [(t, find.where_text(p)[0]) for t, p in find.path_predicates(ORDERS, "lines.2", 7).items()], "table_name string, template string")
+
+
+@entry(f"SELECT l_orderkey AS orders_id, l_partkey AS part, idx FROM ({NUMBERED}) WHERE l_orderkey % 100 = 0")
+def lookup_source_ids(spark, sf):
+    from docrel.sources.readers import tables_by_ids
+
+    ids = read(spark, sf, "orders").where("o_orderkey % 100 = 0").select(F.col("o_orderkey").alias("id"))
+    return tables_by_ids(parsed(order_docs(spark, sf)), ids, ORDERS)["order_lines"].select("orders_id", "part", "idx")
+
+
+@entry(f"SELECT l_orderkey AS orders_id, l_partkey AS part, idx FROM ({NUMBERED}) WHERE l_orderkey % 100 = 0")
+def lookup_target_ids(spark, sf):
+    from docrel.sources.readers import rows_by_ids
+
+    ids = read(spark, sf, "orders").where("o_orderkey % 100 = 0").select(F.col("o_orderkey").alias("id"))
+    lines = flat.flatten(parsed(order_docs(spark, sf)), ORDERS, "order_lines").select("orders_id", "part", "idx")
+    return rows_by_ids({"order_lines": lines}, ids, ORDERS)["order_lines"]
+
+
+@entry(literal_sql([('DROP TABLE IF EXISTS "vectors";',), ('CREATE TABLE IF NOT EXISTS "vectors" ("id" bigint, "label" INTEGER);',), ('DROP TABLE IF EXISTS "vector_values";',),
+                    ('CREATE TABLE IF NOT EXISTS "vector_values" ("values" FLOAT8, "vectors_id" bigint, "idx" BIGINT);',)], ["statement"]))
+def schema_ddl(spark, sf):
+    return values(spark, [(x,) for x in ddl.script(VECTORS).split("\n")], "statement string")
+
+
 # --- the log ----------------------------------------------------------------------------------------------------------
 
 
@@ -358,6 +392,16 @@ def oplog_high_water(spark, sf):
     return values(spark, [(s, *p) for s, p in marks.items()], "shard string, t long, i long")
 
 
+@entry(f"SELECT shard, max(us) // 1000000 AS t, max(us) % 1000000 AS i FROM ({LOG}) GROUP BY shard")
+def oplog_latest_ts(spark, sf):
+    return records(spark, sf).groupBy("shard").agg(F.max("ts").alias("ts")).select("shard", "ts.t", "ts.i")
+
+
+@entry(f"SELECT DISTINCT 'users' AS collection, CAST(user_id AS VARCHAR) AS rec_id FROM ({LOG}) WHERE NOT moved")
+def oplog_touched_ids(spark, sf):
+    return oplog.touched(oplog.valid(records(spark, sf), ["users"]))
+
+
 @entry(f"SELECT op, count(*) AS n FROM ({LOG}) WHERE NOT moved GROUP BY op")
 def oplog_valid_ops(spark, sf):
     return oplog.valid(records(spark, sf), ["users"]).groupBy("op").agg(F.count(F.lit(1)).alias("n"))
@@ -391,6 +435,31 @@ def cdc_array_state(spark, sf):
     return flat.flatten(parsed(final_docs(spark, sf)), USERS, "user_tags")
 
 
+@entry(f"SELECT id, kind FROM ({FINAL_SQL})")
+def cdc_set_scalar(spark, sf):
+    return cdc_final_state(spark, sf).select("id", "kind")
+
+
+@entry(f"SELECT id, value FROM ({FINAL_SQL})")
+def cdc_unset(spark, sf):
+    return cdc_final_state(spark, sf).select("id", "value")
+
+
+@entry(f"SELECT id, info_a, info_b FROM ({FINAL_SQL})")
+def cdc_set_struct(spark, sf):
+    return cdc_final_state(spark, sf).select("id", "info_a", "info_b")
+
+
+@entry(f"SELECT users_id, tags FROM ({ARRAY_SQL}) WHERE idx = 1")
+def cdc_replace_array(spark, sf):
+    return cdc_array_state(spark, sf).where("idx = 1").select("users_id", "tags")
+
+
+@entry(f"SELECT users_id, tags FROM ({ARRAY_SQL}) WHERE idx = 2")
+def cdc_set_element(spark, sf):
+    return cdc_array_state(spark, sf).where("idx = 2").select("users_id", "tags")
+
+
 @entry(f"WITH {_RESET} SELECT DISTINCT CAST(user_id AS VARCHAR) AS rec_id FROM live")
 def cdc_insert_delete(spark, sf):
     return final_docs(spark, sf).select("rec_id")
