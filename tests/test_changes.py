@@ -218,3 +218,28 @@ def test_settings():
     assert config.store_uri(found["mongo-oplog-shard1"]) == "mongodb://u:p@h1:1,h2:2/d?x=1"
     assert list(config.replicas(parser, "mongo")) == ["mongo"] and config.target_settings(parser).password == "%p" and config.value(parser, "psql:psql-host") == "ph"
     assert OID
+
+
+def test_cycle_from_load_to_repair(spark, tmp_path):
+    from docrel.streaming.cycle import run_once
+
+    rows = [log(1, "i", "posts2", {"_id": 1, "title": "a"}), log(2, "u", "posts2", {"$set": {"title": "b"}}, {"_id": 1}), log(3, "u", "posts2", {"$set": {"body": "c"}}, {"_id": 1}), log(4, "i", "posts2", {"_id": 2})]
+    every = oplog.parse(spark.createDataFrame([(x,) for x in rows], "value string"), "s1")
+    docs = lambda *d: spark.createDataFrame([("posts2", str(x["_id"]), json.dumps(x)) for x in d], STATE)
+    store, runs, plans = VersionedStore(spark, f"{tmp_path}/state", cdc.STATE), status.RunLog(spark, f"{tmp_path}/runs"), {"posts2": POSTS2}
+    now = docs({"_id": 1, "title": "b", "body": "c"}, {"_id": 2})
+    assert run_once(runs, store, every, now, plans, ["s1"]) == "load"
+    runs.init_load_start("None")
+    store.commit(store.stage(docs({"_id": 1, "title": "b"}, {"_id": 2}).selectExpr("*", "cast(null as long) t", "cast(null as long) i")))
+    assert run_once(runs, store, every, now, plans, ["s1"]) == "stop"  # the load has not ended
+    runs.init_load_finish(False)
+    assert run_once(runs, store, every, now, plans, ["s1"]) == "sync ok"
+    more = every.unionByName(oplog.parse(spark.createDataFrame([(log(9, "u", "posts2", {"$set": {"title": "z"}}, {"_id": 2}),)], "value string"), "s1"))
+    now = docs({"_id": 1, "title": "b", "body": "c"}, {"_id": 2, "title": "z"})
+    assert run_once(runs, store, more, now, plans, ["s1"]) == "apply ok" and runs.recent().ts == "Timestamp(9, 1)"
+    assert {json.loads(r.doc).get("title") for r in store.read().collect()} == {"b", "z"}
+    last = more.unionByName(oplog.parse(spark.createDataFrame([(log(10, "u", "posts2", {"$set": {"title": "y"}}, {"_id": 2}),)], "value string"), "s1"))
+    other = docs({"_id": 1, "title": "b", "body": "c"}, {"_id": 2, "title": "x"})
+    assert run_once(runs, store, last, other, plans, ["s1"]) == "apply retry" and runs.recent().attempt == 1
+    assert run_once(runs, store, last, other, plans, ["s1"]) == "apply resync" and runs.recent().status == status.Status.OPLOG_RESYNC
+    assert {json.loads(r.doc).get("title") for r in store.read().collect()} == {"b", "x"}
