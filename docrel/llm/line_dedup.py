@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docrel.llm.shared import checkpointed
+from docrel.llm.shared import checkpointed, let
 
 #: One line in so many ends a chunk; lines of the rolling window; words that make a paragraph, or a line, long.
 DIVISOR, WINDOW, LONG_WORDS = 3, 2, 50
@@ -22,60 +22,71 @@ DIVISOR, WINDOW, LONG_WORDS = 3, 2, 50
 BROADCAST_ROWS = 1_000_000
 
 
-def _bare(text: Column) -> Column:
-    return F.btrim(text, F.lit(" \t\r\n"))
+def _words(text: Column) -> Column:
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "))) + 1
 
 
 def lines_of(text: Column) -> Column:
-    """Array of ``(line, opens, closes)``: whether a line is the first, or the last, of a long paragraph."""
+    """Array of ``(line, end, opens, closes)``: ``end`` is the line end behind a paragraph, else empty; the others tell
+    whether the line is the first, or the last, of a long paragraph."""
 
-    def cut(paragraph: Column) -> Column:
-        long = F.length(paragraph) - F.length(F.replace(paragraph, F.lit(" "))) + 1 >= LONG_WORDS
-        # an array of one element binds what each line needs, so that it is computed once a paragraph
-        bound = F.array(F.struct(F.split(paragraph, r"(?<=[.!?] )").alias("parts"), long.alias("long")))
-        return F.get(F.transform(bound, lambda p: F.transform(p["parts"], lambda x, i: F.struct(
-            x.alias("line"), (p["long"] & (i == 0)).alias("opens"), (p["long"] & (i == F.size(p["parts"]) - 1)).alias("closes")))), 0)
+    def sentences(paragraph: Column) -> Column:
+        # marks and a plain split in place of a pattern, for texts without the mark
+        marked = paragraph
+        for stop in (". ", "! ", "? "):
+            marked = F.replace(marked, F.lit(stop), F.lit(stop + "\0"))
+        return F.when(F.contains(paragraph, F.lit("\0")), F.split(paragraph, r"(?<=[.!?] )")).otherwise(F.split(marked, "\0"))
 
-    return F.filter(F.flatten(F.transform(F.split(text, r"(?<=\n)"), cut)), lambda x: x["line"] != "")
+    def cut(paragraph: Column, end: Column) -> Column:
+        def lines(parts: Column, long: Column) -> Column:
+            last = lambda i: i == F.size(parts) - 1
+            return F.transform(parts, lambda x, i: F.struct(
+                x.alias("line"), F.when(last(i), end).otherwise("").alias("end"), (long & (i == 0)).alias("opens"), (long & last(i)).alias("closes")))
 
+        blank = F.array(F.struct(F.lit("").alias("line"), end.alias("end"), F.lit(False).alias("opens"), F.lit(False).alias("closes")))
+        found = let(F.filter(sentences(paragraph), lambda x: x != ""), lambda parts: let(_words(paragraph) >= LONG_WORDS, lambda long: lines(parts, long)))
+        return F.when(paragraph == "", blank).otherwise(found)
 
-def _chunk_bodies(rows: DataFrame, text: str) -> DataFrame:
-    """``rows`` with ``parts``, an array of ``(n, body, several)`` chunks of the column ``text``; bodies joined are the text."""
-    lined = rows.withColumn("lines", lines_of(F.coalesce(F.col(text), F.lit(""))))
-    hashed = lined.withColumn("h", F.transform("lines", lambda x: F.xxhash64(_bare(x["line"]))))
+    cuts = let(F.split(text, "\n"), lambda ps: F.flatten(F.transform(ps, lambda p, i: cut(p, F.when(i == F.size(ps) - 1, "").otherwise("\n")))))
+    return F.filter(cuts, lambda x: (x["line"] != "") | (x["end"] != ""))
 
-    def ends(x: Column, i: Column) -> Column:
-        rolled = F.xxhash64(*[F.get("h", i - back) for back in range(WINDOW - 1, -1, -1)])
-        following = F.coalesce(F.get("lines", i + 1)["opens"], F.lit(True))  # no line follows the last
-        return (F.pmod(rolled, F.lit(DIVISOR)) == 0) | x["closes"] | following
 
-    marks = hashed.withColumn("marks", F.filter(F.transform("lines", lambda x, i: F.when(ends(x, i), i)), lambda i: i.isNotNull()))
+def chunks_of(text: Column) -> Column:
+    """Array of ``(n, body, end, several)`` chunks of a text; bodies, each with the line end behind it, joined are the text."""
 
-    def chunk(end: Column, n: Column) -> Column:
-        start = F.coalesce(F.get("marks", n - 1) + 1, F.lit(0))
-        body = F.array_join(F.transform(F.slice("lines", start + 1, end - start + 1), lambda x: x["line"]), "")
-        return F.struct(n.alias("n"), body.alias("body"), (end > start).alias("several"))
+    def ends(lines: Column, h: Column) -> Column:
+        def ends_here(x: Column, i: Column) -> Column:
+            rolled = F.xxhash64(*[F.get(h, i - back) for back in range(WINDOW - 1, -1, -1)])
+            following = F.coalesce(F.get(lines, i + 1)["opens"], F.lit(True))  # no line follows the last
+            return x["closes"] | following | (F.pmod(rolled, F.lit(DIVISOR)) == 0)
 
-    return marks.withColumn("parts", F.transform("marks", chunk)).drop("lines", "h", "marks")
+        return F.filter(F.transform(lines, lambda x, i: F.when(ends_here(x, i), i)), lambda i: i.isNotNull())
 
+    def chunks(lines: Column, marks: Column) -> Column:
+        def chunk(end: Column, n: Column) -> Column:
+            start = F.coalesce(F.get(marks, n - 1) + 1, F.lit(0))
+            before = F.array_join(F.transform(F.slice(lines, start + 1, end - start), lambda x: F.concat(x["line"], x["end"])), "")
+            last = F.get(lines, end)
+            return F.struct(n.alias("n"), F.concat(before, last["line"]).alias("body"), last["end"].alias("end"), (end > start).alias("several"))
 
-def chunked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, body, parts, later``: the text (null: empty), its chunks, and the numbers of those whose hash an earlier one has.
+        return F.transform(marks, chunk)
 
-    A chunk is ``(n, body, hash, counts)`` with ``n`` from 0; ``counts`` tells whether it may be removed. Hashes ignore
-    blanks and line ends at the ends of a chunk.
-    """
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    def whole(lines: Column) -> Column:
+        hashes = F.transform(lines, lambda x: F.xxhash64(F.trim(x["line"])))
+        return let(let(hashes, lambda h: ends(lines, h)), lambda marks: chunks(lines, marks))
+
+    return let(lines_of(text), whole)
 
-    def judged(x: Column) -> Column:
-        words = F.length(x["body"]) - F.length(F.replace(x["body"], F.lit(" "))) + 1
-        return F.struct(x["n"].alias("n"), x["body"].alias("body"), F.xxhash64(_bare(x["body"])).alias("hash"),
-                        ((x["several"] | (words >= LONG_WORDS)) & (_bare(x["body"]) != "")).alias("counts"))
 
-    known = _chunk_bodies(rows, "body").withColumn("parts", F.transform("parts", judged))
-    ordered = known.withColumn("order", F.array_sort(F.transform(F.filter("parts", lambda x: x["counts"]), lambda x: F.struct(x["hash"].alias("hash"), x["n"].alias("n")))))
-    later = F.filter(F.transform("order", lambda x, i: F.when(x["hash"] == F.get("order", i - 1)["hash"], x["n"])), lambda n: n.isNotNull())
-    return ordered.select("key", "body", "parts", later.alias("later"))
+def chunked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, row, parts``: the hash of the text (null: empty) and its chunks that may be removed, ``(n, body, hash)``.
+
+    ``n`` counts all chunks from 0; bodies are without blanks at their ends and the line end behind them.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    may_go = F.filter(chunks_of(body), lambda x: (x["several"] | (_words(x["body"]) >= LONG_WORDS)) & (F.trim(x["body"]) != ""))
+    bare = F.transform(may_go, lambda x: let(F.trim(x["body"]), lambda b: F.struct(x["n"].alias("n"), b.alias("body"), F.xxhash64(b).alias("hash"))))
+    return docs.select(F.col(key).alias("key"), F.xxhash64(body).alias("row"), bare.alias("parts"))
 
 
 def repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -86,11 +97,14 @@ def repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", br
     twice are candidates; only their chunks move with their bytes, which are compared: where different bytes share a
     hash, which 64 bits make rare, it does not count as repeated. Copies combine before each exchange.
     """
-    spread = chunked(docs, key, text).select("key", F.xxhash64("body").alias("row"), "later", F.explode(F.filter("parts", lambda x: x["counts"])).alias("c"))
-    small = checkpointed(spread.select("key", "row", F.col("c.n").alias("n"), F.col("c.hash").alias("hash"), F.array_contains("later", F.col("c.n")).alias("again")))
+    # in order of hashes a chunk that an earlier one of its row equals stands behind it
+    order = F.array_sort(F.transform("parts", lambda x: F.struct(x["hash"].alias("hash"), x["n"].alias("n"))))
+    slim = let(order, lambda o: F.transform(o, lambda x, i: F.struct(x["hash"].alias("hash"), x["n"].alias("n"), F.coalesce(F.get(o, i - 1)["hash"] == x["hash"], F.lit(False)).alias("again"))))
+    marked = chunked(docs, key, text).select("key", "row", slim.alias("order"))
+    small = checkpointed(marked.select("key", "row", F.inline("order")))
     often = checkpointed(small.groupBy("hash").agg(F.count(F.lit(1)).alias("many"), F.min("key").alias("first")).where("many > 1").select("hash", "first"))
     few = often.count() <= broadcast_rows
-    bodies = chunked(docs, key, text).select(F.explode(F.filter("parts", lambda x: x["counts"])).alias("c")).select("c.hash", _bare(F.col("c.body")).alias("body"))
+    bodies = chunked(docs, key, text).select(F.inline("parts")).select("hash", "body")
     met = bodies.join(F.broadcast(often.select("hash")) if few else often.select("hash"), "hash")
     texts = met.groupBy("hash", "body").agg(F.count(F.lit(1)).alias("many"))
     equal = texts.groupBy("hash").agg(F.count(F.lit(1)).alias("texts")).where("texts = 1").select("hash")
@@ -112,19 +126,24 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **s
     met = own.join(gone, (F.col("__own") == F.col("__row")) & F.col(key).eqNullSafe(F.col("__key")), "left")
     names = [c for c in docs.columns if c != text]
     carried = met.select(F.col(key).alias("__id"), F.col(text).alias("__text"), F.coalesce("__gone", F.array().cast("array<int>")).alias("__gone"), F.struct(*names).alias("__rest"))
-    cut = _chunk_bodies(carried, "__text")
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("next"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-
-    def step(acc, x):
-        # gone numbers are in order, so that one look tells whether this chunk is among them
-        end, goes = acc["at"] + F.length(x["body"]), F.coalesce(F.get("__gone", acc["next"]) == x["n"], F.lit(False))
-        return F.struct(end.alias("at"), (acc["next"] + goes.cast("int")).alias("next"), F.when(
-            goes, F.array_append(acc["spans"], F.struct(acc["at"].alias("start"), end.alias("end")))).otherwise(acc["spans"]).alias("spans"))
-
-    stays = F.array_except(F.transform("parts", lambda x: x["n"]), F.col("__gone"))
-    kept = F.array_join(F.transform(stays, lambda i: F.get("parts", i)["body"]), "")
-    removed = F.when(F.size("__gone") > 0, F.aggregate("parts", zero, step)["spans"]).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
-    out = cut.select("__rest", F.when(F.size("__gone") == 0, F.col("__text")).otherwise(kept).alias("__clean"), F.size("parts").alias("__n_chunks"), removed.alias("__removed"))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+
+    def cleaned(parts: Column, gone: Column) -> Column:
+        def step(acc, x):
+            # gone numbers are in order, so that one look tells whether this chunk is among them
+            end, goes = acc["at"] + F.length(x["body"]) + F.length(x["end"]), F.coalesce(F.get(gone, acc["next"]) == x["n"], F.lit(False))
+            return F.struct(end.alias("at"), (acc["next"] + goes.cast("int")).alias("next"), F.when(
+                goes, F.array_append(acc["spans"], F.struct(acc["at"].alias("start"), end.alias("end")))).otherwise(acc["spans"]).alias("spans"))
+
+        zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("next"), none.alias("spans"))
+        stays = F.array_except(F.transform(parts, lambda x: x["n"]), gone)
+        kept = F.array_join(F.transform(stays, lambda i: let(F.get(parts, i), lambda x: F.concat(x["body"], x["end"]))), "")
+        some = F.size(gone) > 0
+        return F.struct(F.when(some, kept).alias("kept"), F.size(parts).alias("n"), F.when(some, F.aggregate(parts, zero, step)["spans"]).otherwise(none).alias("spans"))
+
+    done = let(F.col("__gone"), lambda gone: let(chunks_of(F.coalesce(F.col("__text"), F.lit(""))), lambda parts: cleaned(parts, gone)))
+    found = carried.select("__rest", "__text", F.array(done).alias("__done")).select("__rest", "__text", F.explode("__done").alias("__done"))
+    out = found.select("__rest", F.coalesce("__done.kept", "__text").alias("__clean"), F.col("__done.n").alias("__n_chunks"), F.col("__done.spans").alias("__removed"))
     return out.select(*[(F.col("__clean") if c == text else F.col("__rest")[c]).alias(c) for c in docs.columns], "__n_chunks", "__removed")
 
 

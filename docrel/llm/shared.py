@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,6 +31,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, computed once a row: a column that a lambda function names may else be computed at each call,
+    as the optimizer is free to put the column's expression in place of its name."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(u, v)`` links to ``(node, component)``; the component is the smallest node reachable.
 

@@ -336,44 +336,46 @@ def test_many_rules_judge_as_few_do(spark, monkeypatch):
 
 
 def plain_chunks(text):
-    lines = []
-    for p in re.split(r"(?<=\n)", text or ""):
-        parts = re.split(r"(?<=[.!?] )", p)
+    lines, paragraphs = [], (text or "").split("\n")
+    for at, p in enumerate(paragraphs):
+        end = "\n" if at + 1 < len(paragraphs) else ""
+        parts = [x for x in re.split(r"(?<=[.!?] )", p) if x] or [""]
         long = p.count(" ") + 1 >= line_dedup.LONG_WORDS
-        lines += [(x, long and i == 0, long and i == len(parts) - 1) for i, x in enumerate(parts)]
-    lines = [x for x in lines if x[0]]
-    h = [xxhash.xxh64_intdigest(x[0].strip(" \t\r\n").encode(), 42) for x in lines]
+        lines += [(x, end if i + 1 == len(parts) else "", long and i == 0, long and i + 1 == len(parts)) for i, x in enumerate(parts) if x or end]
+    h = [xxhash.xxh64_intdigest(x[0].strip(" ").encode(), 42) for x in lines]
     out, start = [], 0
-    for i, (_, _, closes) in enumerate(lines):
+    for i, (_, end, _, closes) in enumerate(lines):
         seed = 42
         for j in (i - 1, i):
             if j >= 0:
                 seed = xxhash.xxh64_intdigest(h[j].to_bytes(8, "little"), seed)
         signed = seed - 2**64 if seed >= 2**63 else seed
-        if signed % line_dedup.DIVISOR == 0 or closes or i + 1 == len(lines) or lines[i + 1][1]:
-            out.append(("".join(x[0] for x in lines[start:i + 1]), i > start))
+        if signed % line_dedup.DIVISOR == 0 or closes or i + 1 == len(lines) or lines[i + 1][2]:
+            whole = "".join(x[0] + x[1] for x in lines[start:i + 1])
+            out.append((whole.removesuffix(end) if end else whole, end, i > start))
             start = i + 1
+    assert "".join(b + e for b, e, _ in out) == (text or "")
     return out
 
 
 def plain_clean(rows):
     held = {}
-    countable = lambda b, several: (several or b.count(" ") + 1 >= line_dedup.LONG_WORDS) and b.strip(" \t\r\n")
+    countable = lambda b, several: (several or b.count(" ") + 1 >= line_dedup.LONG_WORDS) and b.strip(" ")
     for key, text in rows:
-        for body, several in plain_chunks(text):
+        for body, _, several in plain_chunks(text):
             if countable(body, several):
-                held.setdefault(body.strip(" \t\r\n"), []).append(key)
+                held.setdefault(body.strip(" "), []).append(key)
     out = []
     for key, text in rows:
         seen, kept = set(), []
-        for body, several in plain_chunks(text):
-            bare = body.strip(" \t\r\n")
+        for body, end, several in plain_chunks(text):
+            bare = body.strip(" ")
             keys = held.get(bare, [])
             goes = countable(body, several) and len(keys) > 1 and (bare in seen or key != min([k for k in keys if k is not None], default=None))
             if countable(body, several):
                 seen.add(bare)
             if not goes:
-                kept.append(body)
+                kept.append(body + end)
         out.append((key, None if text is None else "".join(kept)))
     return out
 
@@ -386,7 +388,7 @@ def test_repeated_passages_against_brute_force(spark):
     rows = []
     for i in range(12):
         rows.append((i, "\n".join([" ".join(sentence() for _ in range(3)), shared if i % 2 else sentence(), sentence(), lines if i % 3 == 0 else "", shared if i == 5 else ""])))
-    rows += EDGES + [(None, shared + "\n" + sentence()), (50, "x\r\n" + shared)]
+    rows += EDGES + [(None, shared + "\n" + sentence()), (50, "x\r\n" + shared), (51, "\0 a. b! c? " + lines + "\n\n\n"), (52, "A. b! c? " + lines + "\n\n\n")]
     docs = docs_of(spark, rows).withColumn("parts", F.lit(1)).withColumn("hash", F.lit(1))
     cleaned = line_dedup.remove_repeats(docs)
     got = sorted([(str(r.doc_id), r.text) for r in cleaned.collect()], key=str)
