@@ -117,9 +117,13 @@ def _component_table(rows: DataFrame) -> DataFrame:
 SET_WORDS, SIMILARITY = 5, 0.8
 #: Bits of a wide fingerprint; bits of a band, bands; most bits by which candidates differ. At similarity 0.8 bits differ
 #: with probability 0.15 each (39 of 256, standard deviation 6): a band of 16 agrees with probability 0.072, none of 80
-#: with 0.003, and more than 62 bits differ with 0.0001. At 0.85 no band agrees with probability 0.0001. Unrelated texts
-#: agree in a band with probability 1.5e-5; a corpus of more than some ten million texts asks for longer and more bands.
-WIDE, BAND_BITS, BANDS, WIDE_DISTANCE = 256, 16, 80, 62
+#: with 0.003, and more than 53 bits differ with 0.007. At 0.85 the two are 0.0001 each. Unrelated texts agree in a
+#: band with probability 1.5e-5; a corpus of more than some ten million texts asks for longer and more bands.
+WIDE, BAND_BITS, BANDS, WIDE_DISTANCE = 256, 16, 80, 53
+#: Bands in which texts first meet one leader only, so that large groups of near copies are one component before pairs.
+LEADER_BANDS = 24
+#: Hashes of candidates are broadcast to the texts up to so many rows of two longs; beyond, they are joined.
+BROADCAST_ROWS = 500_000
 
 
 def shingle_set(text: str | None, words: int = SET_WORDS) -> np.ndarray:
@@ -174,13 +178,13 @@ def _sets(text, words: int):
     return each(text)
 
 
-def _bands(*prints):
-    """Column: one number for each band; bands take fixed random bits of the wide fingerprint."""
+def _bands(bands: int, *prints):
+    """Column: one number for each of the first bands; they take fixed random bits of the wide fingerprint."""
 
     @F.pandas_udf("array<int>")
     def each(f0: pd.Series, f1: pd.Series, f2: pd.Series, f3: pd.Series) -> pd.Series:
         rng = np.random.default_rng(33)
-        places = [rng.choice(WIDE, BAND_BITS, replace=False) for _ in range(BANDS)]
+        places = [rng.choice(WIDE, BAND_BITS, replace=False) for _ in range(bands)]
         bits = np.unpackbits(np.stack([f0, f1, f2, f3], axis=1).astype("<i8").view(np.uint8), axis=1, bitorder="little").astype(np.int32)
         powers = 1 << np.arange(BAND_BITS, dtype=np.int32)
         return pd.Series(list(np.stack([bits[:, p] @ powers + (t << BAND_BITS) for t, p in enumerate(places)], axis=1)))
@@ -188,24 +192,48 @@ def _bands(*prints):
     return each(*prints)
 
 
+PRINTS = ("f0", "f1", "f2", "f3")
+
+
 def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int, similarity: float) -> DataFrame:
-    """``(u, v)`` of the ``sid`` of all texts whose sets have a Jaccard similarity of ``similarity`` or more.
+    """Links ``(u, v)`` between the ``sid`` of texts whose components are those of all pairs of similar sets.
 
     The words of a band are its anchors (a code of covering radius 0), met with threshold 0. Classes of equal sets meet
-    once; those whose wide fingerprints are near are candidates, and their whole sets decide. Only texts of candidates
-    give sets, one text for each class.
+    once; those whose wide fingerprints are near are candidates, and their whole sets decide. First each text meets only
+    the smallest of its anchor in the first bands, which makes large groups of near copies components without all their
+    pairs; then all bands give the pairs between different components. A pair inside a component would change nothing.
     """
-    prints = ["f0", "f1", "f2", "f3"]
-    classes = checkpointed(rows.groupBy("sid", *prints).agg(F.min("hash").alias("hash")))
-    spots = classes.where("sid <> 0").select("sid", *prints, F.explode(_bands(*[F.col(f) for f in prints])).alias("band"))
-    a, b = (spots.select("band", F.col("sid").alias(n), *[F.col(f).alias(f"{n}{f}") for f in prints]) for n in "uv")
-    differ = sum((F.bit_count(F.col(f"u{f}").bitwiseXOR(F.col(f"v{f}"))) for f in prints), F.lit(0))
-    near = checkpointed(a.join(b, "band").where((F.col("u") < F.col("v")) & (differ <= WIDE_DISTANCE)).select("u", "v").distinct())
+    classes = checkpointed(rows.where("sid <> 0").groupBy("sid", *PRINTS).agg(F.min("hash").alias("hash")))
+    decide = lambda near: checkpointed(_verified(docs, classes, near, text, hashed, words, similarity))
+    spread = lambda df, bands: df.withColumn("band", F.explode(_bands(bands, *[F.col(f) for f in PRINTS])))
+
+    few = spread(classes.select("sid", *PRINTS), LEADER_BANDS)
+    leaders = few.groupBy("band").agg(F.min("sid").alias("sid"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    led = few.join(checkpointed(leaders), ["band", "sid"])
+    first = decide(_near(few, led, F.col("u") != F.col("v")))
+    parts = connected_components(first)
+    named = classes.select("sid", *PRINTS).join(parts.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    every = spread(checkpointed(named), BANDS)
+    second = decide(_near(every, every, (F.col("u") < F.col("v")) & (F.col("ucomponent") != F.col("vcomponent"))))
+    return first.union(second)
+
+
+def _near(left: DataFrame, right: DataFrame, also) -> DataFrame:
+    """Distinct ``(u, v)`` of rows of either side in one band whose wide fingerprints are near."""
+    a, b = (df.select("band", *[F.col(c).alias(n if c == "sid" else n + c) for c in df.columns if c != "band"]) for df, n in ((left, "u"), (right, "v")))
+    differ = sum((F.bit_count(F.col(f"u{f}").bitwiseXOR(F.col(f"v{f}"))) for f in PRINTS), F.lit(0))
+    met = a.join(b, "band").where(also & (differ <= WIDE_DISTANCE))
+    return checkpointed(met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+
+
+def _verified(docs: DataFrame, classes: DataFrame, near: DataFrame, text: str, hashed, words: int, similarity: float) -> DataFrame:
+    """The pairs of ``near`` whose whole sets are similar. Only texts of candidates give sets, one text for each class."""
     nodes = near.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
     chosen = checkpointed(classes.join(nodes, "sid").select(F.col("hash").alias("__hash"), F.col("sid").alias("__sid")))
-    met = docs.select(hashed.alias("__hash"), F.col(text).alias("__text")).join(chosen, "__hash")
+    named = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+    met = docs.select(hashed.alias("__hash"), F.col(text).alias("__text")).join(named, "__hash")
     # rows that repeat a text give its set several times
-    sets = checkpointed(met.select("__sid", _sets(F.col("__text"), words).alias("__set")).groupBy("__sid").agg(F.max("__set").alias("__set")))
+    sets = checkpointed(met.select("__sid", _sets(F.col("__text"), words).alias("__set")).dropDuplicates(["__sid"]))
     left, right = (sets.select(F.col("__sid").alias(n), F.col("__set").alias(f"set_{n}"), F.size("__set").alias(f"n_{n}")) for n in "uv")
     both = near.join(left, "u").join(right, "v")
     shared = F.size(F.array_intersect("set_u", "set_v"))
