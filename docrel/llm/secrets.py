@@ -13,6 +13,8 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docrel.llm.shared import let
+
 # The base patterns and the least length of what they must hold, in the order of kinds.
 ASSIGN = r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]+"
 ASSIGN_HEAD = r"^(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?"
@@ -113,20 +115,22 @@ def _found(hits: Column, gaps: Column, kind: str, rank: int, passes) -> Column:
     """Spans of the matches of a pattern, left to right, that pass, from the matches and the texts between them."""
     empty = F.array().cast(SPANS)
 
-    def step(acc, i):
-        start = acc["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(F.get(hits, i))
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), F.get(hits, i).alias("token"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
+    def spans(hits: Column, gaps: Column) -> Column:
+        def step(acc, i):
+            start = acc["at"] + F.length(F.get(gaps, i))
+            end = start + F.length(F.get(hits, i))
+            span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), F.get(hits, i).alias("token"))
+            return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
+
+        def block(acc, k):
+            # appending copies an array, so that long lists are made in blocks
+            inner = F.aggregate(F.sequence(k * BLOCK, F.least(k * BLOCK + BLOCK, F.size(hits)) - 1), F.struct(acc["at"].alias("at"), empty.alias("out")), step)
+            return let(inner, lambda x: F.struct(x["at"].alias("at"), F.array_append(acc["out"], x["out"]).alias("out")))
 
-    def block(acc, k):
-        # appending copies an array, so that long lists are made in blocks
-        inner = F.aggregate(F.sequence(k * BLOCK, F.least(k * BLOCK + BLOCK, F.size(hits)) - 1), F.struct(acc["at"].alias("at"), empty.alias("out")), step)
-        return F.transform(F.array(inner), lambda x: F.struct(x["at"].alias("at"), F.array_append(acc["out"], x["out"]).alias("out")))[0]
+        none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("out"))
+        return F.flatten(F.aggregate(F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / BLOCK).cast("int")), none, block)["out"])
 
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("out"))
-    spans = F.flatten(F.aggregate(F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / BLOCK).cast("int")), none, block)["out"])
-    return F.filter(F.when(F.size(hits) > 0, spans).otherwise(empty), passes)
+    return let(hits, lambda h: F.when(F.size(h) > 0, F.filter(let(gaps, lambda g: spans(h, g)), passes)).otherwise(empty))
 
 
 def scan(docs: DataFrame, table: list[int], key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -163,11 +167,14 @@ def scan(docs: DataFrame, table: list[int], key: str = "doc_id", text: str = "te
         # codes are an array, made once a token: characters of a text can only be reached by counting from its start
         codes = F.transform(F.filter(F.split(symbols_of(token), ""), lambda c: c != ""), lambda c: F.call_function("locate", c, F.lit(SYMBOLS)) - 1)
         total = lambda c: F.aggregate(F.sequence(F.lit(1), F.size(c) - 1), F.lit(0), lambda acc, i: acc + F.get(values, F.get(c, i - 1) * n + F.get(c, i)))
-        return F.transform(F.array(codes), total)[0]
+        return let(codes, total)
 
     base = tokens.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
-    scored = base.withColumn("random", F.filter("tokens", lambda t: ~F.exists(
-        "base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])) & (gain(t["token"]) >= MARGIN * (F.length(t["token"]) - 1))))
+
+    def clear(base: Column) -> Column:
+        return F.filter("tokens", lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])) & (gain(t["token"]) >= MARGIN * (F.length(t["token"]) - 1)))
+
+    scored = base.withColumn("random", let(F.col("base"), clear))
     return scored.select(F.col("key").alias(key), "assign", "access", "hex", "base", "random",
                          F.array_sort(F.concat("base", "random")).alias("spans"))
 
