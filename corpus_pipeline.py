@@ -35,8 +35,8 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents so that tokens follow the target marginals."""
-    return mixing.sample(docs)
+    """Samples a tenth of the tokens so that they follow the target marginals as far as the documents allow."""
+    return mixing.sample(docs, budget=mixing.BUDGET)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -309,6 +309,30 @@ def test_mixing_on_edges(spark):
     assert same == 1
 
 
+def test_one_rare_row_does_not_empty_the_mix(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, "word " * int(rng.integers(20, 900)), "en de fr es".split()[int(rng.integers(0, 4))], f"src{i % 20}", None) for i in range(4000)]
+    kept = lambda rows: {r["doc_id"]: r["__probability"] for r in mixing.weigh(spark.createDataFrame(rows, DOCS), budget=0.1).collect()}
+    before = kept(rows)
+    assert 0.08 < sum(before.values()) / len(rows) < 0.4
+    for rare in ((-1, "nine words", None, "src1", None), (-1, "nine words", "en", None, None), (-1, "nine words", "es", "unnamed", None)):
+        after = kept([*rows, rare])
+        assert abs(after[-1] - 1) < 1e-9
+        assert max(abs(after[i] - p) for i, p in before.items()) < 0.001
+
+
+def test_raking_within_a_budget():
+    rng = np.random.default_rng(13)
+    cells = {(a, b): float(rng.integers(5000, 10000)) for a in "xyz" for b in "pq"} | {("r", "p"): 5.0, ("x", "zero"): 900.0}
+    targets = [{"x": 0.5, "y": 0.2, "z": 0.2, "r": 0.1}, {"p": 0.6, "q": 0.4}]
+    kept = mixing.rake_within(cells, targets, 9000.0)
+    assert abs(sum(kept.values()) - 9000) < 1e-3 and kept["r", "p"] == 5 and kept["x", "zero"] == 0 and all(kept[c] <= cells[c] for c in cells)
+    for place, share in ((0, {"x": 8995 * 0.5 / 0.9, "y": 8995 * 0.2 / 0.9}), (1, {"p": 5400, "q": 3600})):
+        for v, want in share.items():
+            assert abs(sum(w for c, w in kept.items() if c[place] == v) - want) < 1
+    assert [(p, v) for p, v, _, _ in mixing.shortfall(cells, targets, 9000.0)] == [(0, "r")]
+
+
 # --- 7
 
 
