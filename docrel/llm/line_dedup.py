@@ -5,6 +5,9 @@ lines of a text joined are the text. A rolling hash over the hashes of two neigh
 a chunk ends: boundaries depend on content alone, so a passage has the same chunks wherever it stands, but for its
 edges. Paragraphs of 50 words or more have chunks of their own. Chunks of several lines, or of 50 words, that occur
 more than once are repeated if their bytes are equal; all but the first go.
+
+What lies between two ends of chunks of a repeated passage, or beside them, stays so. ``remove_runs`` therefore takes
+the rolling window at every line, not only at chunk ends: each line that stands in a repeated window goes.
 """
 
 from __future__ import annotations
@@ -89,7 +92,41 @@ def chunked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     return docs.select(F.col(key).alias("key"), F.xxhash64(body).alias("row"), bare.alias("parts"))
 
 
-def repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+def units_of(text: Column) -> Column:
+    """Array of ``(line, whole)``, one for each line that holds more than blanks: the line without blanks at its ends, and
+    all up to the next such line (the first from the start of the text). The wholes joined are the text."""
+
+    def units(lines: Column) -> Column:
+        bare = F.transform(lines, lambda x: F.btrim(x["line"], F.lit(" \t\r")))
+        held = let(bare, lambda b: F.filter(F.transform(b, lambda x, i: F.when(x != "", F.struct(x.alias("line"), i.alias("at")))), lambda x: x.isNotNull()))
+
+        def unit(held: Column, x: Column, k: Column) -> Column:
+            start, end = F.when(k == 0, 0).otherwise(x["at"]), F.coalesce(F.get(held, k + 1)["at"], F.size(lines))
+            own = F.get(lines, x["at"])
+            several = F.array_join(F.transform(F.slice(lines, start + 1, end - start), lambda y: F.concat(y["line"], y["end"])), "")
+            return F.struct(x["line"].alias("line"), F.when(end - start == 1, F.concat(own["line"], own["end"])).otherwise(several).alias("whole"))
+
+        return let(held, lambda h: F.transform(h, lambda x, k: unit(h, x, k)))
+
+    return let(lines_of(text), units)
+
+
+def windowed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``chunked``, for the windows of a text: two neighbouring lines, of which line k is the first, have the number
+    2 k; line k alone, if it has 50 words, has 2 k + 1."""
+
+    def windows(lines: Column) -> Column:
+        pairs = F.transform(lines, lambda x, k: F.when(k < F.size(lines) - 1, F.struct((2 * k).alias("n"), F.concat(x, F.lit("\n"), F.get(lines, k + 1)).alias("body"))))
+        alone = F.transform(lines, lambda x, k: F.when(_words(x) >= LONG_WORDS, F.struct((2 * k + 1).alias("n"), x.alias("body"))))
+        return F.filter(F.concat(pairs, alone), lambda x: x.isNotNull())
+
+    body = F.coalesce(F.col(text), F.lit(""))
+    lines = F.transform(units_of(body), lambda x: x["line"])
+    found = F.transform(let(lines, windows), lambda x: F.struct(x["n"].alias("n"), x["body"].alias("body"), F.xxhash64(x["body"]).alias("hash")))
+    return docs.select(F.col(key).alias("key"), F.xxhash64(body).alias("row"), found.alias("parts"))
+
+
+def repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_rows: int = BROADCAST_ROWS, cut=chunked) -> tuple[DataFrame, DataFrame]:
     """Small rows of all chunks that may go, and the table of repeated ones.
 
     The first has ``key, row, n, hash, again`` without texts; ``row`` is the hash of the row's text. The second has
@@ -100,11 +137,11 @@ def repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", br
     # in order of hashes a chunk that an earlier one of its row equals stands behind it
     order = F.array_sort(F.transform("parts", lambda x: F.struct(x["hash"].alias("hash"), x["n"].alias("n"))))
     slim = let(order, lambda o: F.transform(o, lambda x, i: F.struct(x["hash"].alias("hash"), x["n"].alias("n"), F.coalesce(F.get(o, i - 1)["hash"] == x["hash"], F.lit(False)).alias("again"))))
-    marked = chunked(docs, key, text).select("key", "row", slim.alias("order"))
+    marked = cut(docs, key, text).select("key", "row", slim.alias("order"))
     small = checkpointed(marked.select("key", "row", F.inline("order")))
     often = checkpointed(small.groupBy("hash").agg(F.count(F.lit(1)).alias("many"), F.min("key").alias("first")).where("many > 1").select("hash", "first"))
     few = often.count() <= broadcast_rows
-    bodies = chunked(docs, key, text).select(F.inline("parts")).select("hash", "body")
+    bodies = cut(docs, key, text).select(F.inline("parts")).select("hash", "body")
     met = bodies.join(F.broadcast(often.select("hash")) if few else often.select("hash"), "hash")
     texts = met.groupBy("hash", "body").agg(F.count(F.lit(1)).alias("many"))
     equal = texts.groupBy("hash").agg(F.count(F.lit(1)).alias("texts")).where("texts = 1").select("hash")
@@ -119,9 +156,29 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **s
     document. Null texts stay null and hold nothing; empty tables give no rows; other columns stay as they are.
     Texts move once, to meet the numbers of the chunks that go.
     """
-    small, repeated = repeated_chunks(docs, key, text, **settings)
+    return _cleaned(docs, key, text, *repeated_chunks(docs, key, text, **settings), chunks_of)
+
+
+def remove_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """As ``remove_repeats``, for every run of two lines or more, or line of 50 words, that an earlier place holds.
+
+    ``__n_chunks`` counts the lines that hold more than blanks. What a passage shares beyond whole lines stays. Of every
+    line some occurrence stays: a line goes only for an equal one with a smaller key, or before it in its own text.
+    """
+    small, repeated = repeated_chunks(docs, key, text, cut=windowed, **settings)
+
+    def lines(text: Column) -> Column:
+        return F.transform(units_of(text), lambda x, k: F.struct(k.alias("n"), x["whole"].alias("body"), F.lit("").alias("end")))
+
+    covered = lambda gone: F.array_sort(F.array_distinct(F.flatten(F.transform(gone, lambda n: F.when(
+        n % 2 == 0, F.array((n / 2).cast("int"), (n / 2 + 1).cast("int"))).otherwise(F.array(((n - 1) / 2).cast("int")))))))
+    return _cleaned(docs, key, text, small, repeated, lines, covered)
+
+
+def _cleaned(docs: DataFrame, key: str, text: str, small: DataFrame, repeated: DataFrame, cut, covered=lambda gone: gone) -> DataFrame:
+    """``docs`` without the parts, of those that ``cut`` gives, that ``covered`` names for the numbers that go."""
     goes = small.join(repeated, "hash").where(F.col("again") | ~F.col("key").eqNullSafe(F.col("first")))
-    gone = checkpointed(goes.groupBy("key", "row").agg(F.array_sort(F.collect_set("n")).alias("__gone")).select(F.col("key").alias("__key"), F.col("row").alias("__row"), "__gone"))
+    gone = checkpointed(goes.groupBy("key", "row").agg(covered(F.array_sort(F.collect_set("n"))).alias("__gone")).select(F.col("key").alias("__key"), F.col("row").alias("__row"), "__gone"))
     own = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     met = own.join(gone, (F.col("__own") == F.col("__row")) & F.col(key).eqNullSafe(F.col("__key")), "left")
     names = [c for c in docs.columns if c != text]
@@ -141,7 +198,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **s
         some = F.size(gone) > 0
         return F.struct(F.when(some, kept).alias("kept"), F.size(parts).alias("n"), F.when(some, F.aggregate(parts, zero, step)["spans"]).otherwise(none).alias("spans"))
 
-    done = let(F.col("__gone"), lambda gone: let(chunks_of(F.coalesce(F.col("__text"), F.lit(""))), lambda parts: cleaned(parts, gone)))
+    done = let(F.col("__gone"), lambda gone: let(cut(F.coalesce(F.col("__text"), F.lit(""))), lambda parts: cleaned(parts, gone)))
     found = carried.select("__rest", "__text", F.array(done).alias("__done")).select("__rest", "__text", F.explode("__done").alias("__done"))
     out = found.select("__rest", F.coalesce("__done.kept", "__text").alias("__clean"), F.col("__done.n").alias("__n_chunks"), F.col("__done.spans").alias("__removed"))
     return out.select(*[(F.col("__clean") if c == text else F.col("__rest")[c]).alias(c) for c in docs.columns], "__n_chunks", "__removed")

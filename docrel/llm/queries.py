@@ -65,7 +65,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.digest(line_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return line_dedup.digest(line_dedup.remove_runs(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

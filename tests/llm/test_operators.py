@@ -426,6 +426,58 @@ def test_repeated_passages_against_brute_force(spark):
     assert line_dedup.remove_repeats(docs_of(spark, [])).count() == 0
 
 
+def plain_runs(rows):
+    """Every line in a repeated window goes, but for the first place of the window."""
+    held, cut = {}, []
+    for key, text in rows:
+        units, lead = [], ""
+        paragraphs = (text or "").split("\n")
+        for at, p in enumerate(paragraphs):
+            parts = [x for x in re.split(r"(?<=[.!?] )", p) if x] or [""]
+            for i, x in enumerate(parts):
+                whole = x + ("\n" if i + 1 == len(parts) and at + 1 < len(paragraphs) else "")
+                if x.strip(" \t\r"):
+                    units.append([x.strip(" \t\r"), lead + whole])
+                    lead = ""
+                elif units:
+                    units[-1][1] += whole
+                else:
+                    lead += whole
+        windows = [((units[k][0], units[k + 1][0]), (k, k + 1)) for k in range(len(units) - 1)] + [((u[0],), (k,)) for k, u in enumerate(units) if u[0].count(" ") >= 49]
+        cut.append((key, text, units, windows))
+        for w, _ in windows:
+            held.setdefault(w, []).append(key)
+    out = []
+    for key, text, units, windows in cut:
+        seen, gone = set(), set()
+        for w, places in windows:
+            first = min([k for k in held[w] if k is not None], default=None)
+            if len(held[w]) > 1 and (w in seen or key != first):
+                gone |= set(places)
+            seen.add(w)
+        out.append((key, "".join(u[1] for k, u in enumerate(units) if k not in gone) if gone else text))
+    return out
+
+
+def test_whole_runs_against_brute_force(spark):
+    rng = np.random.default_rng(15)
+    sentence = lambda n=8: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n)) + "."
+    inside, listed = [" ".join(sentence() for _ in range(n)) for n in (2, 3, 5, 7)], "\n\n".join(sentence() for _ in range(5))
+    rows = [(i, " ".join([sentence(), sentence(), inside[i % 4], sentence()]) + "\n" + (listed + "\n" if i % 3 == 0 else "") + sentence(60 if i == 7 else 5)) for i in range(40)]
+    rows += EDGES + [(None, inside[1]), (60, rows[7][1].split("\n")[-1]), (61, "\n \n" + listed.replace("\n", "\r\n")), (62, "x y.\n" * 5)]
+    cleaned = line_dedup.remove_runs(docs_of(spark, rows))
+    got = sorted([(str(r.doc_id), r.text) for r in cleaned.collect()], key=str)
+    assert got == sorted([(str(k), t) for k, t in plain_runs(rows)], key=str)
+    for shared in (*inside, listed):
+        assert all(sum(line in (t or "") for _, t in got) == 1 for line in re.split(r"(?<=[.]) |\n+", shared))
+    joined = line_dedup.remove_runs(docs_of(spark, rows), broadcast_rows=0)
+    assert sorted([(str(r.doc_id), r.text) for r in joined.collect()], key=str) == got
+    for r in cleaned.select("doc_id", "text", "__removed").collect():
+        whole = [t or "" for k, t in rows if k == r.doc_id]
+        assert len(r.text or "") in {len(t) - sum(x.end - x.start for x in r["__removed"]) for t in whole}
+    assert line_dedup.remove_runs(docs_of(spark, [])).count() == 0
+
+
 # --- 9
 
 
