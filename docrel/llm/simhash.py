@@ -115,13 +115,11 @@ def _component_table(rows: DataFrame) -> DataFrame:
 
 #: Words of a shingle and least Jaccard similarity of two texts' sets of shingles.
 SET_WORDS, SIMILARITY = 5, 0.8
-#: Bits of a wide fingerprint; bits of a band, bands; most bits by which candidates differ. At similarity 0.8 bits differ
-#: with probability 0.15 each (39 of 256, standard deviation 6): a band of 16 agrees with probability 0.072, none of 80
-#: with 0.003, and more than 53 bits differ with 0.007. At 0.85 the two are 0.0001 each. Unrelated texts agree in a
-#: band with probability 1.5e-5; a corpus of more than some ten million texts asks for longer and more bands.
-WIDE, BAND_BITS, BANDS, WIDE_DISTANCE = 256, 16, 80, 53
-#: Bands in which texts first meet one leader only, so that large groups of near copies are one component before pairs.
-LEADER_BANDS = 24
+#: First shingles of a prefix by which texts first meet one leader only, so that large groups of near copies are one
+#: component before pairs.
+LEADERS = 24
+#: Texts sampled for shingles that many texts share, which go last in the order of prefixes; most such shingles.
+SAMPLE, FREQUENT = 5_000, 50_000
 #: Hashes of candidates are broadcast to the texts up to so many rows of two longs; beyond, they are joined.
 BROADCAST_ROWS = 500_000
 
@@ -140,34 +138,46 @@ def shingle_set(text: str | None, words: int = SET_WORDS) -> np.ndarray:
     return np.unique(np.fromiter((hashed(view[a:b], 42) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)), "<u8", len(starts)).view(np.int64))
 
 
-def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
-    """Four longs: majorities over the bits of each hash and of three mixtures of it."""
-    ones, n = np.zeros(WIDE, np.int64), len(hashes)
-    for i in range(0, n, 16384):
-        h = hashes[i : i + 16384].view(np.uint64)
-        mixed = np.empty((len(h), WIDE // 64), "<u8")
-        for j in range(WIDE // 64):
-            mixed[:, j] = h
-            h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-            h = h ^ (h >> np.uint64(29))
-        ones += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(ones * 2 > n, bitorder="little").view("<i8")
+def prefix_of(hashes: np.ndarray, known: np.ndarray, ranks: np.ndarray, similarity: float) -> np.ndarray:
+    """The shingles of which two similar sets share one at least: the first in an order that all sets have in common.
 
-
-def _set_prints(text, words: int):
-    """Column: ``sid`` (which stands for the set of shingles; 0 for none) and the wide fingerprint ``f0`` to ``f3``."""
-
-    @F.pandas_udf("sid long, f0 long, f1 long, f2 long, f3 long")
+    Of n shingles a similar set shares ``similarity`` n at least, and so one of any n - ceil(similarity n) + 1. Shingles
+    in ``known`` (sorted) come last, by their ``ranks``, the others by hash; the order decides the cost, not the result.
+    """
+    n = len(hashes)
+    rank = np.zeros(n, np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        rank = np.where(known[at] == hashes, ranks[at], 0)
+    return hashes[np.lexsort((hashes, rank))[: n - int(np.ceil(similarity * n - 1e-9)) + 1]]
+
+
+def _frequent(docs: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several of some 5,000 texts hold, sorted, and their ranks, the most common last."""
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    some = docs.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select(text).distinct()
+    counted = some.select(F.explode(_sets(F.col(text), words)).alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = counted.orderBy(F.desc("n"), "s").limit(FREQUENT).collect()
+    known = np.array([r.s for r in found], np.int64)
+    order = np.argsort(known)
+    return known[order], np.arange(len(found), 0, -1, dtype=np.int64)[order]
+
+
+def _set_prefixes(docs: DataFrame, text: str, words: int, similarity: float):
+    """Column: ``sid`` (which stands for the set of shingles; 0 for none), its size ``n`` and its ``prefix``."""
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, text, words))
+
+    @F.pandas_udf("sid long, n int, prefix array<long>")
     def each(texts: pd.Series) -> pd.DataFrame:
-        out = np.zeros((len(texts), 5), np.int64)
+        sid, n, prefix = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int32), []
         for i, t in enumerate(texts):
             hashes = shingle_set(t, words)
             if len(hashes):
-                out[i, 0] = np.array([xxhash.xxh64_intdigest(hashes.tobytes())], "<u8").view(np.int64)[0]
-                out[i, 1:] = wide_fingerprint(hashes)
-        return pd.DataFrame(out, columns=["sid", "f0", "f1", "f2", "f3"])
+                sid[i], n[i] = np.array([xxhash.xxh64_intdigest(hashes.tobytes())], "<u8").view(np.int64)[0], len(hashes)
+            prefix.append(prefix_of(hashes, *shared.value, similarity) if len(hashes) else hashes)
+        return pd.DataFrame({"sid": sid, "n": n, "prefix": prefix})
 
-    return each(text)
+    return each(F.col(text))
 
 
 def _sets(text, words: int):
@@ -178,54 +188,42 @@ def _sets(text, words: int):
     return each(text)
 
 
-def _bands(bands: int, *prints):
-    """Column: one number for each of the first bands; they take fixed random bits of the wide fingerprint."""
-
-    @F.pandas_udf("array<int>")
-    def each(f0: pd.Series, f1: pd.Series, f2: pd.Series, f3: pd.Series) -> pd.Series:
-        rng = np.random.default_rng(33)
-        places = [rng.choice(WIDE, BAND_BITS, replace=False) for _ in range(bands)]
-        bits = np.unpackbits(np.stack([f0, f1, f2, f3], axis=1).astype("<i8").view(np.uint8), axis=1, bitorder="little").astype(np.int32)
-        powers = 1 << np.arange(BAND_BITS, dtype=np.int32)
-        return pd.Series(list(np.stack([bits[:, p] @ powers + (t << BAND_BITS) for t, p in enumerate(places)], axis=1)))
-
-    return each(*prints)
-
-
-PRINTS = ("f0", "f1", "f2", "f3")
-
-
 def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int, similarity: float) -> DataFrame:
     """Links ``(u, v)`` between the ``sid`` of texts whose components are those of all pairs of similar sets.
 
-    The words of a band are its anchors (a code of covering radius 0), met with threshold 0. Classes of equal sets meet
-    once; those whose wide fingerprints are near are candidates, and their whole sets decide. First each text meets only
-    the smallest of its anchor in the first bands, which makes large groups of near copies components without all their
-    pairs; then all bands give the pairs between different components. A pair inside a component would change nothing.
+    Classes of equal sets meet once, by each shingle of their prefixes that another class has too; no pair of similar
+    sets is missed. Whole sets decide. First each text meets only the smallest of a shingle, which makes large groups
+    of near copies components without all their pairs; then all meet, but for those of one component, which would
+    change nothing.
     """
-    classes = checkpointed(rows.where("sid <> 0").groupBy("sid", *PRINTS).agg(F.min("hash").alias("hash")))
+    classes = checkpointed(rows.where("sid <> 0").groupBy("sid").agg(F.min("hash").alias("hash"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
     decide = lambda near: checkpointed(_verified(docs, classes, near, text, hashed, words, similarity))
-    spread = lambda df, bands: df.withColumn("band", F.explode(_bands(bands, *[F.col(f) for f in PRINTS])))
+    spots = classes.select("sid", "n", F.posexplode("prefix").alias("at", "shingle"))
+    often = checkpointed(spots.groupBy("shingle").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("shingle"))
+    met = checkpointed(spots.join(often, "shingle"))
+
+    few = met.where(F.col("at") < LEADERS)
+    leaders = checkpointed(few.groupBy("shingle").agg(F.min(F.struct("sid", "n")).alias("v")).select("shingle", F.col("v.sid").alias("v"), F.col("v.n").alias("vn")))
+    led = few.select("shingle", F.col("sid").alias("u"), F.col("n").alias("un")).join(leaders, "shingle").where("u <> v")
+    sized = F.least("un", "vn") >= similarity * F.greatest("un", "vn") - 1e-9
+    first = decide(checkpointed(led.where(sized).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
 
-    few = spread(classes.select("sid", *PRINTS), LEADER_BANDS)
-    leaders = few.groupBy("band").agg(F.min("sid").alias("sid"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    led = few.join(checkpointed(leaders), ["band", "sid"])
-    first = decide(_near(few, led, F.col("u") != F.col("v")))
     parts = connected_components(first)
-    named = classes.select("sid", *PRINTS).join(parts.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    every = spread(checkpointed(named), BANDS)
-    second = decide(_near(every, every, (F.col("u") < F.col("v")) & (F.col("ucomponent") != F.col("vcomponent"))))
+    named = checkpointed(met.join(parts.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid")))
+    # pairs of components come before pairs of texts: the pairs within a large one are never made
+    mixed = named.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("shingle")
+    open_ = checkpointed(named.join(mixed, "shingle"))
+    groups = open_.select("shingle", "component").distinct()
+    a, b = (groups.withColumnRenamed("component", n) for n in ("ucomponent", "vcomponent"))
+    sides = a.join(b, "shingle").where("ucomponent < vcomponent")
+    u, v = (open_.select("shingle", F.col("component").alias(f"{x}component"), F.col("sid").alias(x), F.col("n").alias(f"{x}n"), F.col("at").alias(f"{x}at")) for x in "uv")
+    # by its first common shingle a pair shares no more than what follows on either side
+    most = F.least(F.col("un") - F.col("uat"), F.col("vn") - F.col("vat"))
+    pairs = sides.join(u, ["shingle", "ucomponent"]).join(v, ["shingle", "vcomponent"]).where(sized & (most >= similarity / (1 + similarity) * (F.col("un") + F.col("vn")) - 1e-6))
+    second = decide(checkpointed(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
     return first.union(second)
 
 
-def _near(left: DataFrame, right: DataFrame, also) -> DataFrame:
-    """Distinct ``(u, v)`` of rows of either side in one band whose wide fingerprints are near."""
-    a, b = (df.select("band", *[F.col(c).alias(n if c == "sid" else n + c) for c in df.columns if c != "band"]) for df, n in ((left, "u"), (right, "v")))
-    differ = sum((F.bit_count(F.col(f"u{f}").bitwiseXOR(F.col(f"v{f}"))) for f in PRINTS), F.lit(0))
-    met = a.join(b, "band").where(also & (differ <= WIDE_DISTANCE))
-    return checkpointed(met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-
-
 def _verified(docs: DataFrame, classes: DataFrame, near: DataFrame, text: str, hashed, words: int, similarity: float) -> DataFrame:
     """The pairs of ``near`` whose whole sets are similar. Only texts of candidates give sets, one text for each class."""
     nodes = near.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
@@ -249,7 +247,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     hashes; texts move once, to meet them. An empty table gives no rows.
     """
     hashed = F.xxhash64(F.col(key), F.col(text))
-    found = docs.select(F.col(key).alias("key"), _set_prints(F.col(text), words).alias("p"), hashed.alias("hash"))
+    found = docs.select(F.col(key).alias("key"), _set_prefixes(docs, text, words, similarity).alias("p"), hashed.alias("hash"))
     rows = checkpointed(found.select("key", "hash", "p.*"))
     parts = connected_components(similar_sets(docs, rows, text, hashed, words, similarity))
     classes = checkpointed(rows.groupBy("sid").agg(F.min("key").alias("least")).join(parts.select(F.col("node").alias("sid"), "component"), "sid", "left")

@@ -210,6 +210,18 @@ def test_similar_texts_against_all_pairs(spark):
     assert simhash.deduplicate(docs_of(spark, [])).count() == 0
 
 
+def test_small_sets_at_the_least_similarity(spark):
+    rows = []
+    for n, change in ((8, 1), (16, 3), (24, 5), (9, 1), (54, 11)):  # n words have n - 4 shingles; the copy goes on or ends earlier by a fifth
+        for i in range(60):
+            words = [f"n{n}i{i}w{w}" for w in range(n)]
+            rows += [(1000 * n + 2 * i, " ".join(words)), (1000 * n + 2 * i + 1, " ".join([*words, *[f"more{w}" for w in range(change)]]))]
+    want = jaccard_groups(rows)
+    assert len(want) < len(rows) - 170
+    got = [r.doc_id for r in simhash.deduplicate(docs_of(spark, rows)).collect()]
+    assert sorted(got) == sorted(want)
+
+
 # --- 4
 
 
