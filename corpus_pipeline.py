@@ -31,7 +31,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
     ship(spark)
-    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), unnumbered=True)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 ERROR_RATE = 0.05
 #: Items are scanned for in blocks of so many characters, so that automata stay small; each block reads all documents.
 BLOCK_CHARS = 2_000_000
-#: Shorter items (in characters, normalised) are no evidence and are skipped.
+#: Shorter items (in characters, normalised) count only where they occur without an edit, as whole words.
 LEAST_CHARS = 40
 
 _OTHER = re.compile(r"[\W_]+")
@@ -72,11 +72,11 @@ class Matcher:
         self.items, found = [], {}
         for item_id, text in items:
             text = normalise(text)
-            if len(text) >= least_chars:
-                budget = int(len(text) * error_rate)
+            if text:
+                budget = int(len(text) * error_rate) if len(text) >= least_chars else 0
                 for at, piece in pieces(text, budget):
                     found.setdefault(piece, []).append((len(self.items), at))
-                self.items.append((item_id, text, budget))
+                self.items.append((item_id, text, budget, len(text) < least_chars))
         self.automaton = ahocorasick.Automaton() if found else None
         for piece, uses in found.items():
             self.automaton.add_word(piece, (len(piece), uses))
@@ -93,7 +93,9 @@ class Matcher:
                 spots.setdefault(item, set()).add(end + 1 - n - at)
         out: dict[int, int] = {}
         for item, starts in spots.items():
-            item_id, pattern, budget = self.items[item]
+            item_id, pattern, budget, short = self.items[item]
+            if short:
+                starts = [s for s in starts if doc[max(0, s - 1) : s].strip() == "" and doc[s + len(pattern) : s + len(pattern) + 1].strip() == ""]
             best, upto = budget + 1, -1
             for start in sorted(starts):
                 if best == 0:
@@ -122,10 +124,10 @@ def _matcher(items: tuple, error_rate: float, least_chars: int) -> Matcher:
     return _matchers[at]
 
 
-def _blocks(items: DataFrame, item: str, text: str) -> Iterator[tuple]:
+def _blocks(items: DataFrame, item: str, text: str, unnumbered: bool) -> Iterator[tuple]:
     """Items in blocks of at most BLOCK_CHARS characters (or one item); the driver holds one block at a time."""
     block, size = [], 0
-    for item_id, body in items.where(F.col(item).isNotNull()).select(item, text).toLocalIterator():
+    for item_id, body in (items if unnumbered else items.where(F.col(item).isNotNull())).select(item, text).toLocalIterator():
         if block and size + len(body or "") > BLOCK_CHARS:
             yield tuple(block)
             block, size = [], 0
@@ -139,21 +141,22 @@ def _leaks(block: Broadcast, error_rate: float, least_chars: int):
     @F.pandas_udf("array<struct<item_id:bigint,distance:int>>")
     def leaks(texts: pd.Series) -> pd.Series:
         matcher = _matcher(block.value, error_rate, least_chars)
-        return pd.Series([[{"item_id": i, "distance": d} for i, d in sorted(matcher.find(t).items())] for t in texts])
+        return pd.Series([[{"item_id": i, "distance": d} for i, d in sorted(matcher.find(t).items(), key=lambda x: (x[0] is None, x[0] or 0))] for t in texts])
 
     return leaks
 
 
 def annotate(docs: DataFrame, items: DataFrame, name: str = "__leaks", text: str = "text", item: str = "item_id", item_text: str = "text",
-             error_rate: float = ERROR_RATE, least_chars: int = LEAST_CHARS) -> DataFrame:
+             error_rate: float = ERROR_RATE, least_chars: int = LEAST_CHARS, unnumbered: bool = False) -> DataFrame:
     """``docs`` with one more column, an array of ``(item_id long, distance int)`` of the items that each row holds.
 
     Every block of items is one pass of its own over whole texts, without an exchange; the automaton of a block
-    travels with the tasks. Texts and items are compared normalised. Null and empty texts hold nothing; null
-    item ids, and items under ``least_chars``, are skipped; an empty table of items gives empty arrays.
+    travels with the tasks. Texts and items are compared normalised. Null and empty texts hold nothing.
+    Items under ``least_chars`` are searched for word for word. Items without an id are skipped, or with ``unnumbered``
+    give one element with a null id, whichever of them a row holds. An empty table of items gives empty arrays.
     """
     out = docs.withColumn(name, F.array().cast("array<struct<item_id:bigint,distance:int>>"))
-    for block in _blocks(items, item, item_text):
+    for block in _blocks(items, item, item_text, unnumbered):
         found = _leaks(docs.sparkSession.sparkContext.broadcast(block), error_rate, least_chars)
         out = out.withColumn(name, F.concat(name, found(F.col(text))))
     return out

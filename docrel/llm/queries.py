@@ -70,7 +70,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), unnumbered=True)
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -572,3 +572,12 @@ def test_shards(spark):
     want = sorted((str(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
     assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in got) == want
     assert sharding.assign_shards(docs_of(spark, [])).count() == 0
+
+
+def test_short_items_and_items_without_an_id(spark):
+    items = spark.createDataFrame([(1, "Short item"), (2, "!?"), (None, "a long item of a benchmark that has no number of its own"), (3, "zzz")], "item_id long, text string")
+    docs = docs_of(spark, [(1, "a short, item!"), (2, "a shorts item short items"), (3, "say: a long item of a benchmark that has no number of its own"), (4, "short item and short  item"), (5, ""), (6, None), (7, "zzzz zzz"), (8, "shortitem")])
+    found = {r.doc_id: (r.contaminated, r.n_items, r.item_ids, r.least_distance) for r in decontaminate.report(docs, items, unnumbered=True).collect()}
+    clean = (False, 0, "", None)
+    assert found == {1: (True, 1, "1", 0), 2: clean, 3: (True, 1, "", 0), 4: (True, 1, "1", 0), 5: clean, 6: clean, 7: (True, 1, "3", 0), 8: clean}
+    assert {r.doc_id for r in decontaminate.decontaminate(docs, items, unnumbered=True).collect()} == {2, 5, 6, 8}
