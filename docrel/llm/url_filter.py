@@ -78,7 +78,7 @@ def node_name(url):
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``(src, dst)`` URLs of the canonical links and meta redirects of each page.
+    """``(src, dst)`` URLs of all canonical links and meta redirects of each page, ``&amp;`` decoded.
 
     Targets are made absolute: with a scheme as they are, ``//host/...`` with the page's scheme, ``/...`` with
     its host too, others beside the page's path. Null pages and pages without such tags give no link.
@@ -86,8 +86,9 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     tag = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
     meta = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*?\burl\s*=\s*[\"']?([^\"'\s>]+)"
     hinted = pages.where(F.col(html).contains("canonical") | F.lower(F.col(html)).contains("canonical") | F.lower(F.col(html)).contains("http-equiv"))
-    found = hinted.select(F.col(url).alias("src"), F.explode(F.array(
-        F.regexp_extract(html, tag, 1), F.regexp_extract(html, meta, 1))).alias("to")).where("to <> '' AND src IS NOT NULL")
+    found = hinted.select(F.col(url).alias("src"), F.explode(F.concat(
+        F.regexp_extract_all(html, F.lit(tag), F.lit(1)), F.regexp_extract_all(html, F.lit(meta), F.lit(1)))).alias("to")).where("to <> '' AND src IS NOT NULL")
+    found = found.withColumn("to", F.regexp_replace("to", "(?i)&(amp|#38|#x26);", "&"))
     host, path = split_url(F.col("src"))
     scheme = F.regexp_extract("src", r"(?s)^(.*?)://", 1)
     base = F.concat(scheme, F.lit("://"), host)

@@ -360,6 +360,14 @@ def test_rules_and_aliases(spark):
     assert url_filter.filter_urls(pages.where("false"), url_filter.page_links(pages.where("false"))).count() == 0
 
 
+def test_all_links_of_a_page(spark):
+    html = ('<link rel=canonical href="http://b.net/1"><link rel="canonical" href="http://b.net/2?x=1&amp;y=2"><LINK href="/3" rel=canonical>'
+            '<meta http-equiv=refresh content="0;url=http://b.net/4"><meta http-equiv="refresh" content="0; url=http://b.net/5?a&#38;b">')
+    pages = spark.createDataFrame([("http://a.net/", html), ("http://n.net/", None)], "url string, html string")
+    assert {(r.src, r.dst) for r in url_filter.page_links(pages).collect()} == {
+        ("http://a.net/", x) for x in ("http://b.net/1", "http://b.net/2?x=1&y=2", "http://a.net/3", "http://b.net/4", "http://b.net/5?a&b")}
+
+
 def test_many_rules_judge_as_few_do(spark, monkeypatch):
     urls = spark.createDataFrame([(f"http://h{i % 7}.example.{t}/{p}/{i}",) for i in range(60) for t in ("org", "com") for p in ("en", "de")] + [(None,), ("",)], "url string")
     few = {tuple(r) for r in url_filter.judge(urls, url_filter.RULES).collect()}
