@@ -197,10 +197,12 @@ def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int
     change nothing.
     """
     classes = checkpointed(rows.where("sid <> 0").groupBy("sid").agg(F.min("hash").alias("hash"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    decide = lambda near: checkpointed(_verified(docs, classes, near, text, hashed, words, similarity))
     spots = classes.select("sid", "n", F.posexplode("prefix").alias("at", "shingle"))
     often = checkpointed(spots.groupBy("shingle").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("shingle"))
-    met = checkpointed(spots.join(often, "shingle"))
+    # met where the prefixes are, as long as few shingles are common: a shuffle of all prefixes costs as much disk as the texts
+    met = checkpointed(spots.join(F.broadcast(often) if often.count() <= BROADCAST_ROWS else often, "shingle"))
+    classes = checkpointed(classes.select("sid", "hash"))
+    decide = lambda near: checkpointed(_verified(docs, classes, near, text, hashed, words, similarity))
 
     few = met.where(F.col("at") < LEADERS)
     leaders = checkpointed(few.groupBy("shingle").agg(F.min(F.struct("sid", "n")).alias("v")).select("shingle", F.col("v.sid").alias("v"), F.col("v.n").alias("vn")))
