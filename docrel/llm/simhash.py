@@ -34,9 +34,14 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
         starts = np.concatenate([[0], ends[: len(found) - words] + 1]).tolist()
         view = memoryview(joined)
         hashes = [hashed(view[a:b], 42) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)]
+    return majority(np.array(hashes, "<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The long, signed, whose bits are 1 where over half of the 64-bit ``hashes`` have a 1."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 65536):
-        part = np.array(hashes[i : i + 65536], "<u8").view(np.uint8).reshape(-1, 8)
+        part = np.ascontiguousarray(hashes[i : i + 65536]).view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
@@ -115,12 +120,14 @@ def _component_table(rows: DataFrame) -> DataFrame:
 
 #: Words of a shingle and least Jaccard similarity of two texts' sets of shingles.
 SET_WORDS, SIMILARITY = 5, 0.8
-#: First shingles of a prefix by which texts first meet one leader only, so that large groups of near copies are one
-#: component before pairs.
+#: First shingles of a prefix by which sets first meet one leader only.
 LEADERS = 24
+#: Longs of a set's parity map, of 64 bits each.
+MARKS = 16
 #: Texts sampled for shingles that many texts share, which go last in the order of prefixes; most such shingles.
 SAMPLE, FREQUENT = 5_000, 50_000
-#: Hashes of candidates are broadcast to the texts up to so many rows of two longs; beyond, they are joined.
+#: Shingles, hashes of candidates and hashes of dropped rows are broadcast up to so many rows of two longs; beyond, they
+#: are joined.
 BROADCAST_ROWS = 500_000
 
 
@@ -152,6 +159,15 @@ def prefix_of(hashes: np.ndarray, known: np.ndarray, ranks: np.ndarray, similari
     return hashes[np.lexsort((hashes, rank))[: n - int(np.ceil(similarity * n - 1e-9)) + 1]]
 
 
+def parity_map(hashes: np.ndarray) -> np.ndarray:
+    """Bit i says whether an odd number of hashes is i modulo the bits of the map.
+
+    Maps of two sets differ in no more bits than there are elements in one set alone, so they bound the similarity.
+    """
+    odd = np.bincount(hashes & (64 * MARKS - 1), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _frequent(docs: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several of some 5,000 texts hold, sorted, and their ranks, the most common last."""
     share = min(1.0, SAMPLE / max(1, docs.count()))
@@ -163,19 +179,22 @@ def _frequent(docs: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.nd
     return known[order], np.arange(len(found), 0, -1, dtype=np.int64)[order]
 
 
-def _set_prefixes(docs: DataFrame, text: str, words: int, similarity: float):
-    """Column: ``sid`` (which stands for the set of shingles; 0 for none), its size ``n`` and its ``prefix``."""
-    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, text, words))
+def _set_prefixes(text: str, words: int, similarity: float, shared):
+    """Column: ``sid`` (which stands for the set of shingles; 0 for none), its size ``n``, its SimHash ``fp``, its
+    ``marks`` and its ``prefix``."""
 
-    @F.pandas_udf("sid long, n int, prefix array<long>")
+    @F.pandas_udf("sid long, n int, fp long, marks array<long>, prefix array<long>")
     def each(texts: pd.Series) -> pd.DataFrame:
-        sid, n, prefix = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int32), []
+        sid, n, fp = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int32), np.zeros(len(texts), np.int64)
+        marks, prefix = [], []
         for i, t in enumerate(texts):
             hashes = shingle_set(t, words)
             if len(hashes):
                 sid[i], n[i] = np.array([xxhash.xxh64_intdigest(hashes.tobytes())], "<u8").view(np.int64)[0], len(hashes)
+                fp[i] = majority(hashes)
+            marks.append(parity_map(hashes))
             prefix.append(prefix_of(hashes, *shared.value, similarity) if len(hashes) else hashes)
-        return pd.DataFrame({"sid": sid, "n": n, "prefix": prefix})
+        return pd.DataFrame({"sid": sid, "n": n, "fp": fp, "marks": marks, "prefix": prefix})
 
     return each(F.col(text))
 
@@ -188,27 +207,46 @@ def _sets(text, words: int):
     return each(text)
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """A checkpointed table of longs with a hint for the broadcast if it is counted to be small enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def anchor_pairs(classes: DataFrame) -> DataFrame:
+    """``(u, v)`` of ``sid, fp``: sets whose SimHashes are equal or, at an anchor, differ from its first in 3 bits at most.
+
+    Anchors as for ``near_prints``; one leader an anchor makes a large group of near copies one component without its pairs.
+    """
+    prints = checkpointed(classes.groupBy("fp").agg(F.min("sid").alias("head")))
+    equal = classes.join(prints, "fp").where("sid > head").select(F.col("head").alias("u"), F.col("sid").alias("v"))
+    spots = prints.select("fp", F.explode(all_anchors(F.col("fp"))).alias("anchor"))
+    leaders = spots.groupBy("anchor").agg(F.min("fp").alias("first"), F.max("fp").alias("last")).where("first < last").select("anchor", "first")
+    met = spots.join(leaders, "anchor").where((F.col("fp") != F.col("first")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("first"))) <= DISTANCE))
+    near = met.select("fp", "first").distinct()
+    heads = near.join(prints, "fp").select("first", F.col("head").alias("a")).join(prints.select(F.col("fp").alias("first"), F.col("head").alias("b")), "first")
+    return equal.union(heads.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")))
+
+
 def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int, similarity: float) -> DataFrame:
     """Links ``(u, v)`` between the ``sid`` of texts whose components are those of all pairs of similar sets.
 
-    Classes of equal sets meet once, by each shingle of their prefixes that another class has too; no pair of similar
-    sets is missed. Whole sets decide. First each text meets only the smallest of a shingle, which makes large groups
-    of near copies components without all their pairs; then all meet, but for those of one component, which would
-    change nothing.
+    SimHashes meet at anchors. That alone misses most pairs at the least similarity, so sets also meet by each shingle of
+    their prefixes that another set has too, where no similar pair is missed: first only with the smallest set that has
+    it, which makes large groups of near copies components without all their pairs, then all, but for those of one
+    component, which would change nothing. Parity maps and whole sets decide.
     """
-    classes = checkpointed(rows.where("sid <> 0").groupBy("sid").agg(F.min("hash").alias("hash"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    spots = classes.select("sid", "n", F.posexplode("prefix").alias("at", "shingle"))
-    often = checkpointed(spots.groupBy("shingle").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("shingle"))
-    # met where the prefixes are, as long as few shingles are common: a shuffle of all prefixes costs as much disk as the texts
-    met = checkpointed(spots.join(F.broadcast(often) if often.count() <= BROADCAST_ROWS else often, "shingle"))
-    classes = checkpointed(classes.select("sid", "hash"))
+    classes = checkpointed(rows.where("sid <> 0").groupBy("sid").agg(*[F.min(c).alias(c) for c in ("hash", "n", "fp")], F.first("marks").alias("marks")))
     decide = lambda near: checkpointed(_verified(docs, classes, near, text, hashed, words, similarity))
+    spots = rows.where("sid <> 0").select("sid", "n", F.posexplode("prefix").alias("at", "shingle"))
+    often = spots.groupBy("shingle").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a < b").select("shingle")
+    # copies have one set, which meets others once
+    met = checkpointed(spots.join(_few(checkpointed(often)), "shingle").groupBy("shingle", "sid").agg(F.min("n").alias("n"), F.min("at").alias("at")))
 
-    few = met.where(F.col("at") < LEADERS)
-    leaders = checkpointed(few.groupBy("shingle").agg(F.min(F.struct("sid", "n")).alias("v")).select("shingle", F.col("v.sid").alias("v"), F.col("v.n").alias("vn")))
-    led = few.select("shingle", F.col("sid").alias("u"), F.col("n").alias("un")).join(leaders, "shingle").where("u <> v")
     sized = F.least("un", "vn") >= similarity * F.greatest("un", "vn") - 1e-9
-    first = decide(checkpointed(led.where(sized).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
+    early = met.where(F.col("at") < LEADERS)
+    leaders = early.groupBy("shingle").agg(F.min(F.struct("sid", "n")).alias("v")).select("shingle", F.col("v.sid").alias("v"), F.col("v.n").alias("vn"))
+    led = early.select("shingle", F.col("sid").alias("u"), F.col("n").alias("un")).join(leaders, "shingle").where("u <> v").where(sized)
+    first = decide(anchor_pairs(classes).union(led.select(F.least("u", "v"), F.greatest("u", "v"))).distinct())
 
     parts = connected_components(first)
     named = checkpointed(met.join(parts.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid")))
@@ -222,22 +260,27 @@ def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int
     # by its first common shingle a pair shares no more than what follows on either side
     most = F.least(F.col("un") - F.col("uat"), F.col("vn") - F.col("vat"))
     pairs = sides.join(u, ["shingle", "ucomponent"]).join(v, ["shingle", "vcomponent"]).where(sized & (most >= similarity / (1 + similarity) * (F.col("un") + F.col("vn")) - 1e-6))
-    second = decide(checkpointed(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
+    second = decide(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     return first.union(second)
 
 
 def _verified(docs: DataFrame, classes: DataFrame, near: DataFrame, text: str, hashed, words: int, similarity: float) -> DataFrame:
-    """The pairs of ``near`` whose whole sets are similar. Only texts of candidates give sets, one text for each class."""
+    """The pairs of ``near`` whose whole sets are similar.
+
+    Parity maps leave out pairs that cannot be; only texts of the others give sets, one text for each class.
+    """
+    left, right = (classes.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("marks").alias(f"marks{x}")) for x in "uv")
+    apart = sum((F.bit_count(F.get("marksu", F.lit(i)).bitwiseXOR(F.get("marksv", F.lit(i)))) for i in range(MARKS)), F.lit(0))
+    both, share = F.col("nu") + F.col("nv"), similarity / (1 + similarity)
+    near = checkpointed(near.join(left, "u").join(right, "v").where(apart <= both - 2 * F.ceil(share * both - 1e-6)).select("u", "v"))
     nodes = near.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
     chosen = checkpointed(classes.join(nodes, "sid").select(F.col("hash").alias("__hash"), F.col("sid").alias("__sid")))
-    named = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
-    met = docs.select(hashed.alias("__hash"), F.col(text).alias("__text")).join(named, "__hash")
-    # rows that repeat a text give its set several times
-    sets = checkpointed(met.select("__sid", _sets(F.col("__text"), words).alias("__set")).dropDuplicates(["__sid"]))
+    met = docs.select(hashed.alias("__hash"), F.col(text).alias("__text")).join(_few(chosen), "__hash")
+    # rows that repeat a text give its set several times; either side of the join reads the one exchange that this makes
+    sets = met.select("__sid", _sets(F.col("__text"), words).alias("__set")).dropDuplicates(["__sid"])
     left, right = (sets.select(F.col("__sid").alias(n), F.col("__set").alias(f"set_{n}"), F.size("__set").alias(f"n_{n}")) for n in "uv")
-    both = near.join(left, "u").join(right, "v")
     shared = F.size(F.array_intersect("set_u", "set_v"))
-    return both.where(shared >= similarity * (F.col("n_u") + F.col("n_v") - shared)).select("u", "v")
+    return near.join(left, "u").join(right, "v").where(shared >= similarity * (F.col("n_u") + F.col("n_v") - shared)).select("u", "v")
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SET_WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -245,24 +288,26 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
 
     Texts link if their sets of word shingles have a Jaccard similarity of ``similarity`` or more; a group is what links
     reach. Null and empty texts are equal. Of rows that repeat the smallest key, or where a group has null keys only, the
-    one with the smallest hash of key and text stays (of wholly equal rows any one). Survivors are found on keys and
-    hashes; texts move once, to meet them. An empty table gives no rows.
+    one with the smallest hash of key and text stays (of wholly equal rows any one). What goes is found on keys and
+    hashes; rows that stay leave by an anti-join with it. An empty table gives no rows. Columns may have any names.
     """
     hashed = F.xxhash64(F.col(key), F.col(text))
-    found = docs.select(F.col(key).alias("key"), _set_prefixes(docs, text, words, similarity).alias("p"), hashed.alias("hash"))
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, text, words))
+    found = docs.select(F.col(key).alias("key"), _set_prefixes(text, words, similarity, shared).alias("p"), hashed.alias("hash"))
     rows = checkpointed(found.select("key", "hash", "p.*"))
+    shared.destroy()
     parts = connected_components(similar_sets(docs, rows, text, hashed, words, similarity))
     classes = checkpointed(rows.groupBy("sid").agg(F.min("key").alias("least")).join(parts.select(F.col("node").alias("sid"), "component"), "sid", "left")
                            .withColumn("component", F.coalesce("component", "sid")))
-    least = checkpointed(classes.groupBy("component").agg(F.min("least").alias("least")))
-    table = checkpointed(classes.drop("least").join(least, "component"))
-    heads = rows.join(table, "sid").where(F.col("key").eqNullSafe(F.col("least"))).groupBy("component", "hash", "key").agg(F.count(F.lit(1)).alias("n"))
-    heads = checkpointed(heads)
-    chosen = heads.groupBy("component").agg(F.min("hash").alias("hash"))
-    named = checkpointed(heads.join(chosen, ["component", "hash"]).select(F.col("hash").alias("__hash"), F.col("key").alias("__key"), "n"))
-    own, other = docs.withColumn("__hash", hashed).alias("own"), named.alias("other")
-    same = (F.col("own.__hash") == F.col("other.__hash")) & F.col(f"own.{key}").eqNullSafe(F.col("other.__key"))
-    kept = own.join(other, same, "left_semi")
-    if not named.where("n > 1").isEmpty():
-        kept = kept.dropDuplicates(["__hash", key])
-    return kept.drop("__hash")
+    least = classes.groupBy("component").agg(F.min("least").alias("least"))
+    placed = checkpointed(rows.select("key", "hash", "sid").join(classes.select("sid", "component").join(least, "component"), "sid"))
+    heads = placed.where(F.col("key").eqNullSafe(F.col("least"))).groupBy("component").agg(F.min("hash").alias("head"))
+    goes = placed.join(heads, "component").where(~F.col("key").eqNullSafe(F.col("least")) | (F.col("hash") != F.col("head")))
+    gone = _few(checkpointed(goes.select(F.col("hash").alias("__hash"), F.col("key").alias("__key")).distinct()))
+    own, other = docs.select(F.struct(*docs.columns).alias("row"), hashed.alias("__hash")).alias("own"), gone.alias("other")
+    same = (F.col("own.__hash") == F.col("other.__hash")) & F.col(f"own.row.`{key}`").eqNullSafe(F.col("other.__key"))
+    kept = own.join(other, same, "left_anti")
+    # rows that are wholly equal have one hash
+    if placed.count() > placed.select("component", "hash", "key").distinct().count():
+        kept = kept.dropDuplicates(["__hash"])
+    return kept.select("row.*")
