@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable
 
@@ -31,6 +32,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files of finished queries now: it does so once the driver's JVM has collected them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, computed once a row: a column that a lambda function names may else be computed at each call,
     as the optimizer is free to put the column's expression in place of its name."""

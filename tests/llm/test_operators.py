@@ -589,3 +589,15 @@ def test_short_items_and_items_without_an_id(spark):
     clean = (False, 0, "", None)
     assert found == {1: (True, 1, "1", 0), 2: clean, 3: (True, 1, "", 0), 4: (True, 1, "1", 0), 5: clean, 6: clean, 7: (True, 1, "3", 0), 8: clean}
     assert {r.doc_id for r in decontaminate.decontaminate(docs, items, unnumbered=True).collect()} == {2, 5, 6, 8}
+
+
+def test_equal_hashes_of_different_lines_go_nowhere(spark, monkeypatch):
+    rng = np.random.default_rng(16)
+    sentence = lambda n=8: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n)) + "."
+    passage = " ".join(sentence() for _ in range(4))
+    rows = [(i, f"{sentence()} {passage} {sentence()}\n \n{sentence()}\0") for i in range(12)] + EDGES + [(50, "a b.  c.\n\n d\n"), (51, "\n\n  a b.  c.\n\n d\n"), (52, "x" * 60), (53, rows_text := passage), (54, rows_text)]
+    docs = docs_of(spark, rows)
+    plain = sorted([(str(k), t) for k, t in plain_runs(rows)], key=str)
+    assert sorted([(str(r.doc_id), r.text) for r in line_dedup.remove_runs(docs).collect()], key=str) == plain
+    monkeypatch.setattr(line_dedup, "_hash", lambda *values: F.xxhash64(*values) % 1)
+    assert sorted([(str(r.doc_id), r.text) for r in line_dedup.remove_runs(docs).collect()], key=str) == sorted([(str(k), t) for k, t in rows], key=str)
