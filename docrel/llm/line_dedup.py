@@ -157,7 +157,9 @@ def windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         return F.concat(let(F.transform(lines, lambda x: _hash(x)), pairs), F.filter(alone, lambda x: x.isNotNull()))
 
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(key).alias("key"), _hash(body).alias("row"), F.inline(let(bare_lines(body), found)))
+    # hashed below the generator: beside it a text would be hashed for each of its windows
+    rows = docs.select(F.col(key).alias("key"), body.alias("body"), _hash(body).alias("row"))
+    return rows.select("key", "row", F.inline(let(bare_lines(F.col("body")), found)))
 
 
 def repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -255,6 +257,8 @@ def remove_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", broadc
     table = checkpointed(windows(docs, key, text))
     sizes = checkpointed(table.where("hash IS NULL").groupBy("key", "row").agg((F.max("n") / 2 + 1).cast("int").alias("__n")))
     repeated = repeated_windows(table, broadcast_rows)
+    del table
+    free_shuffles(docs.sparkSession)
     wrong = checkpointed(unequal(docs, repeated, sizes, key, text))
     free_shuffles(docs.sparkSession)
     if not wrong.isEmpty():

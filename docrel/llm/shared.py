@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,9 +34,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files of finished queries now: it does so once the driver's JVM has collected them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark delete shuffle files of finished queries now: it does so once the driver's JVM has collected them.
+
+    Python's references to objects of the JVM go first, in a thread of their own.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
