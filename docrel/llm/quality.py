@@ -184,13 +184,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """A model of ``labels``, learned only from rows whose fold is not 0.
 
     The driver receives at most ``sample_rows`` keys, their context sums and their document vectors, whatever the
-    size of the tables. Null keys and labels are skipped; of a key with several labels the largest counts. Without
-    two labels the model gives every text the share of label 1 (0.5 without labels).
+    size of the tables. Null keys and labels are skipped; of a key with several labels the largest counts, of one with
+    several texts a single one. Without two labels the model gives every text the share of label 1 (0.5 without labels).
     """
     usable = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & (fold(F.col(key)) != 0))
     chosen = usable.groupBy(F.col(key).alias("__key")).agg(F.max(label).alias("__y")).orderBy(F.xxhash64("__key"), "__key").limit(sample_rows)
-    # chosen is bounded by sample_rows, two numbers a row
-    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__key")
+    # chosen is bounded by sample_rows, three numbers a row; of a key that repeats, the text with the smallest hash counts
+    own = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"), F.xxhash64(F.col(text)).alias("__hash"))
+    one = checkpointed(own.select("__key", "__hash").join(F.broadcast(chosen), "__key").groupBy("__key").agg(F.min("__hash").alias("__hash"), F.first("__y").alias("__y")))
+    rows = own.join(F.broadcast(one), ["__key", "__hash"]).groupBy("__key").agg(F.first("__text").alias("__text"), F.first("__y").alias("__y"))
     rows = checkpointed(rows.repartition(8, "__key"))
     index = index_vectors()
 
