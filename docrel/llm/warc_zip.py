@@ -15,6 +15,7 @@ import uuid
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyarrow import fs
@@ -35,15 +36,15 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 
 def warc_record(kind: str, page: str, url: str, payload: bytes, refers_to: str | None) -> bytes:
-    """One record; a revisit's block ends after the HTTP header, whose Content-Length is that of the full payload."""
+    """One record, with pages percent-encoded; a revisit's block ends after the HTTP header, whose Content-Length is that of the full payload."""
     digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block += payload if kind == "response" else b""
     target = "".join(c if c > " " else f"%{ord(c):02X}" for c in url)
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page}>", f"WARC-Target-URI: {target}",
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{quote(page, safe='')}>", f"WARC-Target-URI: {target}",
              "WARC-Date: 1970-01-01T00:00:00Z", "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha1:{digest}"]
     if refers_to is not None:
-        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <urn:page:{quote(refers_to, safe='')}>"]
     return "\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
 
 
@@ -145,10 +146,11 @@ def write_archives(plan: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for page, url, payload, refers in batch.itertuples(index=False):
                 refers = None if pd.isna(refers) else refers
-                record = warc_record("response" if refers is None else "revisit", "" if pd.isna(page) else page, url, payload.encode(), refers)
+                page = "" if pd.isna(page) else page
+                record = warc_record("response" if refers is None else "revisit", page, url, payload.encode(), refers)
                 packer = zlib.compressobj(6, zlib.DEFLATED, 31)
                 packed = packer.compress(record) + packer.flush()
-                index.append(f"{len(held)} {len(packed)} {page}")
+                index.append(f"{len(held)} {len(packed)} {quote(page, safe='')}")
                 held.extend(packed)
                 if len(held) >= ARCHIVE_BYTES:
                     yield close()
@@ -196,7 +198,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                     full = next(int(x.partition(b":")[2]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:"))
                     if kind == "response" and (len(payload) != full or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
                         raise ValueError(f"broken record in {path}")
-                    page, refers = (fields.get(k, "").removeprefix("<urn:page:").removesuffix(">") or None for k in ("warc-record-id", "warc-refers-to"))
+                    page, refers = (unquote(fields.get(k, "").removeprefix("<urn:page:").removesuffix(">")) or None for k in ("warc-record-id", "warc-refers-to"))
                     rows.append((page, full, digest, kind, refers, payload.decode() if kind == "response" else None))
                 yield pd.DataFrame(rows, columns=["page", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
 
