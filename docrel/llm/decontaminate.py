@@ -9,12 +9,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import ahocorasick
 import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from docrel.llm.shared import checkpointed
 
 #: Edits allowed, as a share of an item's characters.
 ERROR_RATE = 0.05
@@ -137,8 +142,8 @@ def _blocks(items: DataFrame, item: str, text: str, unnumbered: bool) -> Iterato
         yield tuple(block)
 
 
-def _leaks(block: Broadcast, error_rate: float, least_chars: int):
-    @F.pandas_udf("array<struct<item_id:bigint,distance:int>>")
+def _leaks(block: Broadcast, kind: T.ArrayType, error_rate: float, least_chars: int):
+    @F.pandas_udf(kind)
     def leaks(texts: pd.Series) -> pd.Series:
         matcher = _matcher(block.value, error_rate, least_chars)
         return pd.Series([[{"item_id": i, "distance": d} for i, d in sorted(matcher.find(t).items(), key=lambda x: (x[0] is None, x[0] or 0))] for t in texts])
@@ -148,23 +153,46 @@ def _leaks(block: Broadcast, error_rate: float, least_chars: int):
 
 def annotate(docs: DataFrame, items: DataFrame, name: str = "__leaks", text: str = "text", item: str = "item_id", item_text: str = "text",
              error_rate: float = ERROR_RATE, least_chars: int = LEAST_CHARS, unnumbered: bool = False) -> DataFrame:
-    """``docs`` with one more column, an array of ``(item_id long, distance int)`` of the items that each row holds.
-
-    Every block of items is one pass of its own over whole texts, without an exchange; the automaton of a block
-    travels with the tasks. Texts and items are compared normalised. Null and empty texts hold nothing.
-    Items under ``least_chars`` are searched for word for word. Items without an id are skipped, or with ``unnumbered``
-    give one element with a null id, whichever of them a row holds. An empty table of items gives empty arrays.
+    """``docs`` with one more column, an array of ``(item_id, distance int)`` of the items that each row holds.
+
+    Items that fit in one block are one pass over whole texts without an exchange. Beyond, every block is a job of its
+    own, of which only texts that hold an item leave a row, by the SHA-256 of the text; so workers and driver hold one block
+    at a time. Texts and items are compared normalised. Null and empty texts hold nothing. Ids are of any type. Items under
+    ``least_chars`` are searched for word for word. Items without an id are skipped, or with ``unnumbered`` give one element
+    with a null id, whichever of them a row holds. An empty table of items gives empty arrays. ``name`` may not be a column
+    of ``docs``.
     """
-    out = docs.withColumn(name, F.array().cast("array<struct<item_id:bigint,distance:int>>"))
-    for block in _blocks(items, item, item_text, unnumbered):
-        found = _leaks(docs.sparkSession.sparkContext.broadcast(block), error_rate, least_chars)
-        out = out.withColumn(name, F.concat(name, found(F.col(text))))
-    return out
+    if name in docs.columns:
+        raise ValueError(f"column {name} is there already")
+    kind = T.ArrayType(T.StructType([T.StructField("item_id", items.schema[item].dataType), T.StructField("distance", T.IntegerType())]))
+    context, blocks = docs.sparkSession.sparkContext, _blocks(items, item, item_text, unnumbered)
+    first = next(blocks, ())
+    second = next(blocks, None)
+    if second is None:
+        return docs.withColumn(name, _leaks(context.broadcast(first), kind, error_rate, least_chars)(F.col(text)))
+    parts, digest = [], F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    for block in chain((first, second), blocks):
+        shared = context.broadcast(block)
+        found = docs.select(digest.alias("__digest"), _leaks(shared, kind, error_rate, least_chars)(F.col(text)).alias("__found")).where(F.size("__found") > 0)
+        parts.append(checkpointed(found.groupBy("__digest").agg(F.first("__found").alias("__found"))))
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, parts).groupBy("__digest").agg(F.flatten(F.collect_list("__found")).alias("__found"))
+    own, other = docs.select(F.struct(*docs.columns).alias("row"), digest.alias("__digest")), checkpointed(every)
+    met = own.join(other, "__digest", "left")
+    return met.select("row.*", F.coalesce("__found", F.array().cast(kind)).alias(name))
+
+
+def _free_name(docs: DataFrame) -> str:
+    name = "__leaks"
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that hold no item, with their columns."""
-    return annotate(docs, items, **settings).where(F.size("__leaks") == 0).drop("__leaks")
+    name = _free_name(docs)
+    return annotate(docs, items, name, **settings).where(F.size(name) == 0).drop(name)
 
 
 def report(docs: DataFrame, items: DataFrame, key: str = "doc_id", **settings) -> DataFrame:

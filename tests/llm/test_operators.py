@@ -601,3 +601,41 @@ def test_equal_hashes_of_different_lines_go_nowhere(spark, monkeypatch):
     assert sorted([(str(r.doc_id), r.text) for r in line_dedup.remove_runs(docs).collect()], key=str) == plain
     monkeypatch.setattr(line_dedup, "_hash", lambda *values: F.xxhash64(*values) % 1)
     assert sorted([(str(r.doc_id), r.text) for r in line_dedup.remove_runs(docs).collect()], key=str) == sorted([(str(k), t) for k, t in rows], key=str)
+
+
+def test_items_with_text_ids_in_blocks_and_columns_that_clash(spark, monkeypatch):
+    rng = np.random.default_rng(17)
+    item = lambda: " ".join(f"term{x}" for x in rng.integers(0, 10**6, 12))
+    items = [(f"item {i}\n", item()) for i in range(6)]
+    rows = [(i, f"{item()} {items[i % 6][1]} {item()}" if i % 3 else item()) for i in range(30)] + EDGES
+    docs, table = docs_of(spark, rows).withColumn("__leaks", F.lit("own")), spark.createDataFrame(items, "item_id string, text string")
+    want = sorted([(str(k), items[k % 6][0] if isinstance(t, str) and any(x in t for _, x in items) else "") for k, t in rows])
+    clean = sorted(str(k) for k, t in rows if not any(x in (t or "") for _, x in items))
+    for size in (decontaminate.BLOCK_CHARS, 200):
+        monkeypatch.setattr(decontaminate, "BLOCK_CHARS", size)
+        assert sorted((str(r.doc_id), r.item_ids) for r in decontaminate.report(docs, table).collect()) == want
+        kept = decontaminate.decontaminate(docs, table)
+        assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == clean
+
+
+def test_archives_keep_any_page_id(spark, tmp_path):
+    ids = ["a\r\nWARC-Type: revisit", "<urn:page:x>", "é %41 b", "1 2 3", "z\n"]
+    pages = spark.createDataFrame([(i, f"http://a.net/{n}\r\nX: y", f"page {n // 2}") for n, i in enumerate(ids)], "page_id string, url string, html string")
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc_zip.round_trip(pages, str(tmp_path)).collect()}
+    assert set(got) == set(ids)
+    for n, i in enumerate(ids):
+        top = max(x for m, x in enumerate(ids) if m // 2 == n // 2)
+        assert got[i] == (("response", None) if i == top else ("revisit", top))
+
+
+def test_a_fit_takes_one_text_of_a_key(spark):
+    rows = [(i % 10, f"text {i} of key {i % 10}") for i in range(2000)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    taken = []
+    real = quality.fit_network
+    try:
+        quality.fit_network = lambda x, y, vectors: taken.append(len(y)) or real(x, y, vectors)
+        quality.fit(docs_of(spark, rows), labels, sample_rows=6)
+    finally:
+        quality.fit_network = real
+    assert taken and taken[0] <= 6
