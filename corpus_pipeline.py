@@ -52,12 +52,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each keeps is written in the shared folder and read again by the next."""
+    """All stages over ``documents``; what each keeps is written in the shared folder and read again by the next.
+
+    A stage's rows go once the next one's are written; the last ones go when the application ends, as the result reads them.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.deleteOnExit(folder)
+    before = None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs.write.parquet(f"{folder}/{i}-{name}")
             docs = spark.read.parquet(f"{folder}/{i}-{name}")
+            if before:
+                store.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{before}"), True)
+            before = f"{i}-{name}"
     return docs
