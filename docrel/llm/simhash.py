@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docrel.llm.shared import checkpointed, connected_components
+from docrel.llm.shared import checkpointed, connected_components, free_shuffles
 
 WORDS, DISTANCE = 3, 3
 #: Covering radius of the code and bits by which one half may differ.
@@ -122,8 +122,8 @@ def _component_table(rows: DataFrame) -> DataFrame:
 SET_WORDS, SIMILARITY = 5, 0.8
 #: First shingles of a prefix by which sets first meet one leader only.
 LEADERS = 24
-#: Longs of a set's parity map, of 64 bits each.
-MARKS = 16
+#: Longs, of 64 bits each, of the parity map of a small set; larger sets have maps of twice, four times... as many.
+MARKS, MARKED = 16, 256
 #: Texts sampled for shingles that many texts share, which go last in the order of prefixes; most such shingles.
 SAMPLE, FREQUENT = 5_000, 50_000
 #: Shingles, hashes of candidates and hashes of dropped rows are broadcast up to so many rows of two longs; beyond, they
@@ -160,14 +160,29 @@ def prefix_of(hashes: np.ndarray, known: np.ndarray, ranks: np.ndarray, similari
 
 
 def parity_map(hashes: np.ndarray) -> np.ndarray:
-    """Bit i says whether an odd number of hashes is i modulo the bits of the map.
+    """Bit i says whether an odd number of hashes is i modulo the bits of the map, four or more for each hash.
 
-    Maps of two sets differ in no more bits than there are elements in one set alone, so they bound the similarity.
+    Maps of two sets differ in no more bits than there are elements in one set alone, so they bound the similarity. The
+    exclusive or of the halves of a map is the map of half its length.
     """
-    odd = np.bincount(hashes & (64 * MARKS - 1), minlength=64 * MARKS) & 1
+    bits, held = 64 * MARKS, MARKED
+    while held < len(hashes):
+        bits, held = bits * 2, held * 2
+    odd = np.bincount(hashes & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def bits_apart(a, b):
+    """Column: bits by which two parity maps differ; the longer one, of twice the length at most, is halved."""
+
+    def halved(x, y):
+        n = F.size(y)
+        return F.when(F.size(x) > n, F.zip_with(F.slice(x, F.lit(1), n), F.slice(x, n + 1, n), lambda p, q: p.bitwiseXOR(q))).otherwise(x)
+
+    differ = F.zip_with(halved(a, b), halved(b, a), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(differ, F.lit(0), lambda total, x: total + x)
+
+
 def _frequent(docs: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several of some 5,000 texts hold, sorted, and their ranks, the most common last."""
     share = min(1.0, SAMPLE / max(1, docs.count()))
@@ -241,6 +256,7 @@ def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int
     often = spots.groupBy("shingle").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a < b").select("shingle")
     # copies have one set, which meets others once
     met = checkpointed(spots.join(_few(checkpointed(often)), "shingle").groupBy("shingle", "sid").agg(F.min("n").alias("n"), F.min("at").alias("at")))
+    free_shuffles(docs.sparkSession)
 
     sized = F.least("un", "vn") >= similarity * F.greatest("un", "vn") - 1e-9
     early = met.where(F.col("at") < LEADERS)
@@ -249,6 +265,7 @@ def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int
     first = decide(anchor_pairs(classes).union(led.select(F.least("u", "v"), F.greatest("u", "v"))).distinct())
 
     parts = connected_components(first)
+    free_shuffles(docs.sparkSession)
     named = checkpointed(met.join(parts.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid")))
     # pairs of components come before pairs of texts: the pairs within a large one are never made
     mixed = named.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("shingle")
@@ -270,9 +287,12 @@ def _verified(docs: DataFrame, classes: DataFrame, near: DataFrame, text: str, h
     Parity maps leave out pairs that cannot be; only texts of the others give sets, one text for each class.
     """
     left, right = (classes.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("marks").alias(f"marks{x}")) for x in "uv")
-    apart = sum((F.bit_count(F.get("marksu", F.lit(i)).bitwiseXOR(F.get("marksv", F.lit(i)))) for i in range(MARKS)), F.lit(0))
     both, share = F.col("nu") + F.col("nv"), similarity / (1 + similarity)
-    near = checkpointed(near.join(left, "u").join(right, "v").where(apart <= both - 2 * F.ceil(share * both - 1e-6)).select("u", "v"))
+    sized = F.least("nu", "nv") >= similarity * F.greatest("nu", "nv") - 1e-9
+    # sizes first: maps of sets that are similar in size have the same length or twice that
+    may = F.when(sized, bits_apart(F.col("marksu"), F.col("marksv")) <= both - 2 * F.ceil(share * both - 1e-6))
+    near = checkpointed(near.join(left, "u").join(right, "v").where(may).select("u", "v"))
+    free_shuffles(docs.sparkSession)
     nodes = near.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
     chosen = checkpointed(classes.join(nodes, "sid").select(F.col("hash").alias("__hash"), F.col("sid").alias("__sid")))
     met = docs.select(hashed.alias("__hash"), F.col(text).alias("__text")).join(_few(chosen), "__hash")

@@ -639,3 +639,16 @@ def test_a_fit_takes_one_text_of_a_key(spark):
     finally:
         quality.fit_network = real
     assert taken and taken[0] <= 6
+
+
+def test_parity_maps_bound_what_sets_do_not_share(spark):
+    rng = np.random.default_rng(18)
+    rows = []
+    for n in (1, 5, 100, 255, 256, 257, 300, 512, 513, 600, 5000):
+        base = np.unique(rng.integers(-2**63, 2**63 - 1, n))
+        for keep in (1.0, 0.9, 0.8, 0.5):
+            other = np.unique(np.concatenate([base[: max(1, int(n * keep))], rng.integers(-2**63, 2**63 - 1, int(n * (1 - keep) * rng.random()))]))
+            rows.append((len(np.setxor1d(base, other)), simhash.parity_map(base).tolist(), simhash.parity_map(other).tolist()))
+    found = spark.createDataFrame(rows, "most int, a array<long>, b array<long>").select("most", simhash.bits_apart(F.col("a"), F.col("b")).alias("apart"), F.size("a").alias("n"), F.size("b").alias("m")).collect()
+    near = [r for r in found if r.n <= 2 * r.m]
+    assert len(near) > 30 and any(r.n != r.m for r in near) and all(r.apart <= r.most and (r.most - r.apart) % 2 == 0 for r in near)
