@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,31 +15,66 @@ from docrel.operators.flatten import flatten_all, parse
 from docrel.plans.schema import FlattenPlan
 from docrel.sources.store import VersionedStore
 
-STATE = "collection string, rec_id string, doc string, t long, i long"
+LOG = "array<struct<t:long,i:long,shard:string,op:string,o:string>>"
+#: ``doc`` is ``base`` with the records of ``log``; where ``log`` is NULL, ``doc`` is the base itself.
+STATE = f"collection string, rec_id string, doc string, base string, log {LOG}"
 #: Batches that may be read again for documents whose source is ahead, and failures before a repair.
 MAX_READS, MAX_ATTEMPTS = 10, 2
 
 
-def next_version(state: DataFrame, records: DataFrame) -> DataFrame:
-    """The state after a batch: documents with the time of the last record that they reflect.
+def _refold(base: str | None, entries: Iterable[tuple[int, int, str, str, str | None]], settled: tuple[int, int] | None) -> tuple[str | None, str | None, list]:
+    """``(doc, base, log)`` of records in any order, each ``(t, i, shard, op, o)``.
 
-    A record not later than that time is left out, so a batch that comes again changes nothing. Deleted documents
-    stay as rows without a document, as the mark of the time.
+    Records before the last insert or delete cannot matter and go; those before ``settled`` become part of the base.
     """
-    key = ["collection", "rec_id"]
-    known = state.select(*key, F.struct("t", "i").alias("__seen"))
-    fresh = records.join(known, key, "left").where(F.col("__seen").isNull() | (F.col("ts") > F.col("__seen"))).select(*records.columns)
-    changed = apply.apply(state.select(*key, "doc"), fresh).select(*key, "doc")
-    latest = fresh.groupBy(*key).agg(F.max("ts").alias("ts"))
-    new = changed.join(latest, key).select(*key, "doc", "ts.t", "ts.i")
-    return state.join(latest, key, "left_anti").select(*new.columns).unionByName(new)
+    text = lambda d: None if d is None else json.dumps(d, ensure_ascii=False, separators=(",", ":"))
+    ops = lambda rows: [(op, json.loads(o) if o else None) for _, _, _, op, o in rows]
+    rows = sorted({x[:3]: x for x in entries}.values(), key=lambda x: (x[0], x[1], x[2] or ""))
+    last = max((k for k, x in enumerate(rows) if x[3] in "id"), default=None)
+    if last is not None:
+        base, rows = None, rows[last:]
+    old = [x for x in rows if settled and x[:2] < tuple(settled)]
+    if old:
+        base, rows = text(apply.fold(json.loads(base) if base else None, ops(old))), rows[len(old):]
+    return text(apply.fold(json.loads(base) if base else None, ops(rows))), base, rows
+
+
+def next_version(state: DataFrame, records: DataFrame, settled: tuple[int, int] | None = None) -> DataFrame:
+    """The state after a batch, whatever the order in which batches bring records.
+
+    A document keeps its records since its last insert or delete, so that one that comes late, from a shard that lags or
+    with the time of one that came before, takes its place in the order of time and shard; one that comes again changes
+    nothing. ``settled`` is a time before which no record comes any more: older ones are folded into the base, which
+    bounds what is kept, and are left out if they come again. Deleted documents stay as rows without a document.
+    """
+    key, at = ["collection", "rec_id"], F.struct("ts.t", "ts.i", "shard", "op", "o")
+    fresh = records if settled is None else records.where(~(F.col("ts") < F.struct(F.lit(settled[0]).cast("long").alias("t"), F.lit(settled[1]).cast("long").alias("i"))))
+    new = apply.since_reset(fresh).groupBy(*key).agg(F.collect_set(at).alias("new"))
+    own = state.select(*key, F.when(F.col("log").isNull(), F.col("doc")).otherwise(F.col("base")).alias("base"), "log")
+
+    @F.pandas_udf(f"doc string, base string, log {LOG}")
+    def refolded(bases: pd.Series, logs: pd.Series, news: pd.Series) -> pd.DataFrame:
+        out = []
+        for base, log, new in zip(bases, logs, news, strict=True):
+            # of a record that comes twice the one that was kept counts
+            rows = [(x["t"], x["i"], x["shard"], x["op"], x["o"]) for part in (new, [] if log is None else log) for x in part]
+            doc, base, kept = _refold(base, rows, settled)
+            out.append((doc, base, [dict(zip(("t", "i", "shard", "op", "o"), x, strict=True)) for x in kept]))
+        return pd.DataFrame(out, columns=["doc", "base", "log"])
+
+    changed = new.join(own, key, "left").select(*key, refolded("base", "log", "new").alias("now")).select(*key, "now.*")
+    return state.join(new.select(*key), key, "left_anti").select(*changed.columns).unionByName(changed)
 
 
 class ChangeStream:
-    """Applies a stream of parsed log records with ``foreachBatch``; each batch is one commit of the store."""
+    """Applies a stream of parsed log records with ``foreachBatch``; each batch is one commit of the store.
+
+    With ``shards``, all shards that there are, each in order of time, records that none of them can precede any more are
+    folded for good; without, every document keeps its records since its last insert or delete.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, collections: list[str]):
-        self.spark, self.collections = spark, collections
+    def __init__(self, spark: SparkSession, path: str, collections: list[str], shards: Sequence[str] | None = None):
+        self.spark, self.collections, self.shards = spark, collections, shards
         self.store = VersionedStore(spark, path, STATE)
 
     def batch(self, records: DataFrame, batch_id: int) -> None:
@@ -45,8 +82,10 @@ class ChangeStream:
         if commit and commit.get("batch", -1) >= batch_id:
             return  # it was committed before the stream could note it
         kept = oplog.valid(records, self.collections)
-        folder = self.store.stage(next_version(self.store.read(), kept))
-        points = oplog.high_water(records, {k: tuple(v) for k, v in (commit or {}).get("points", {}).items()})
+        before = {k: tuple(v) for k, v in (commit or {}).get("points", {}).items()}
+        settled = min((before[s] for s in self.shards), default=None) if self.shards and set(self.shards) <= set(before) else None
+        folder = self.store.stage(next_version(self.store.read(), kept, settled))
+        points = oplog.high_water(records, before)
         self.store.commit(folder, batch=batch_id, points=points)
 
     def start(self, records: DataFrame, checkpoint: str, **options: Any):
@@ -85,7 +124,8 @@ def apply_and_verify(store: VersionedStore, records: DataFrame, source: DataFram
     if not repair:
         return "failed"
     key = ["collection", "rec_id"]
-    fixed = state.join(failing, key, "left_semi").select(*key, "t", "i").join(source.select(*key, "doc"), key, "left").select(*key, "doc", "t", "i")
+    fixed = state.join(failing, key, "left_semi").select(*key).join(source.select(*key, "doc"), key, "left").select(
+        *key, "doc", F.lit(None).cast("string").alias("base"), F.lit(None).cast(LOG).alias("log"))
     whole = state.join(failing, key, "left_anti").select(*fixed.columns).unionByName(fixed)
     store.commit(store.stage(whole), points=marks)
     return "resync"

@@ -12,7 +12,7 @@ from docrel.operators import oplog, sync
 from docrel.operators.status import RunLog, next_step
 from docrel.plans.schema import FlattenPlan
 from docrel.sources.store import VersionedStore
-from docrel.streaming.cdc import apply_and_verify, next_version
+from docrel.streaming.cdc import LOG, apply_and_verify, next_version
 
 
 def run_once(runs: RunLog, store: VersionedStore, records: DataFrame, source: DataFrame, plans: Mapping[str, FlattenPlan], shards: list[str], repair: bool = True) -> str:
@@ -36,11 +36,11 @@ def run_once(runs: RunLog, store: VersionedStore, records: DataFrame, source: Da
         located = sync.locate(state.where("doc IS NOT NULL").select("collection", "rec_id", "doc"), source, kept)
         starts = sync.align(located)
         lost = located.where("start IS NULL").count()
-        # the store keeps what one record of a document at the start leaves to do: nothing before it
+        # documents are the base of what is due
         due = sync.due(kept, located, starts)
         marks = points | {r.shard: (r.t, r.i) for r in starts.collect()}
         if not lost:
-            cleared = state.withColumns({"t": F.lit(None).cast("long"), "i": F.lit(None).cast("long")})
+            cleared = state.withColumns({"base": F.lit(None).cast("string"), "log": F.lit(None).cast(LOG)})
             store.commit(store.stage(next_version(cleared, due)), points=marks)
         runs.oplog_sync_finish(total, due.count(), points_text(marks if not lost else points), bool(lost))
         return "sync failed" if lost else "sync ok"

@@ -243,3 +243,32 @@ def test_cycle_from_load_to_repair(spark, tmp_path):
     assert run_once(runs, store, last, other, plans, ["s1"]) == "apply retry" and runs.recent().attempt == 1
     assert run_once(runs, store, last, other, plans, ["s1"]) == "apply resync" and runs.recent().status == status.Status.OPLOG_RESYNC
     assert {json.loads(r.doc).get("title") for r in store.read().collect()} == {"b", "x"}
+
+
+def test_any_split_of_a_log_gives_one_state(spark):
+    import random
+
+    rng, schema = random.Random(3), "shard string, ts struct<t:long,i:long>, op string, collection string, rec_id string, o string"
+    rows = []
+    for k in range(60):
+        op = "iuuuud"[rng.randrange(6)]
+        o = {"_id": 1, "a": k} if op == "i" else {"$set": {f"f{rng.randrange(3)}": k}} if op == "u" else {"_id": 1}
+        rows += [(shard, (k // 2, 1), op, "c", str(rng.randrange(4)), json.dumps(o)) for shard in ("s0", "s1") if rng.random() < 0.7]
+    unique = list({(r[0], r[1]): r for r in rows}.values())
+    frame = lambda part: spark.createDataFrame(part, schema)
+    docs = lambda state: {r.rec_id: r.doc for r in state.collect()}
+    empty = spark.createDataFrame([], cdc.STATE)
+    want = docs(cdc.next_version(empty, frame(unique)))
+    plain = {r.rec_id: r.doc for r in apply.next_state(spark.createDataFrame([], STATE), frame(unique)).collect()}
+    assert {k: v for k, v in want.items() if v} == plain and len(plain) > 1
+    shuffled = rng.sample(unique, len(unique))
+    lagging = [r for r in unique if r[0] == "s1"] + [r for r in unique if r[0] == "s0"]
+    for order in (shuffled, lagging):
+        state = empty
+        for part in (order[:20], order[15:50], order[50:]):
+            state = spark.createDataFrame(cdc.next_version(state, frame(part)).collect(), cdc.STATE)
+        assert docs(state) == want
+    settled, cut = empty, (15, 0)
+    for part, point in (([r for r in unique if r[1] < cut], None), ([r for r in unique if r[1] >= cut], cut), (unique, cut)):
+        settled = spark.createDataFrame(cdc.next_version(settled, frame(part), point).collect(), cdc.STATE)
+    assert docs(settled) == want and all(x.t >= 15 for r in settled.collect() if r.rec_id in {u[4] for u in unique if u[1] >= cut} for x in r.log)
