@@ -25,7 +25,7 @@ def kind_of(value: Column) -> Column:
 
 
 def is_void(value: Column) -> Column:
-    return value.isNull() | (F.schema_of_variant(value) == "VOID")
+    return value.isNull() | F.is_variant_null(value)
 
 
 def strict(value: Column, kind: str) -> Column:

@@ -29,8 +29,9 @@ def document_id(plan: FlattenPlan, doc: Column) -> Column:
 
 def _elements(docs: DataFrame, plan: FlattenPlan, table: TablePlan, doc: str, key: Column | None = None) -> DataFrame:
     """``__id``, ``__e`` (the element) and ``__p0, __p1, ...`` (positions from 1) of a table's rows."""
-    own = document_id(plan, F.col(doc)) if key is None else key
-    rows = docs.where(F.col(doc).isNotNull()).select(own.alias("__id"), F.col(doc).alias("__e"))
+    # a filter on documents would be pushed below their parsing and parse them twice; one inside a generator is not
+    rows = docs.select(*([] if key is None else [key.alias("__key")]), F.explode(F.array_compact(F.array(F.col(doc)))).alias("__e"))
+    rows = rows.select((document_id(plan, F.col("__e")) if key is None else F.col("__key")).alias("__id"), "__e")
     for depth, path in enumerate(table.arrays):
         array = F.try_variant_get(F.col("__e"), extract.variant_path(path), "array<variant>")
         before = [f"__p{i}" for i in range(depth)]
