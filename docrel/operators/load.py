@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docrel.functions import codec
-from docrel.operators.flatten import document_id, flatten_all, parse
+from docrel.operators.flatten import flatten_all, parse, type_errors
 from docrel.plans.ddl import script
 from docrel.plans.schema import FlattenPlan
 
@@ -47,15 +47,20 @@ def write_tsv(rows: DataFrame, folder: str, max_rows: int = 0) -> None:
 def init_load(texts: DataFrame, plan: FlattenPlan, folder: str, doc: str = "doc", file_format: str = "parquet") -> dict[str, int]:
     """Writes every table of JSON documents under ``folder`` with its DDL; returns the rows written by table.
 
-    Of documents with equal ids the first in order of text counts. Documents are written once, parsed, and each table
-    is one narrow pass over them.
+    Of documents with equal ids, whatever their type, the first in order of text counts; documents without an id all count.
+    Documents are written once and each table is one narrow pass over them. The stats file has a line for each table, and
+    for texts that are no JSON and values that do not fit their column where there are any.
     """
     spark = texts.sparkSession
-    docs = parse(texts.select(doc), doc).where(F.col(doc).isNotNull())
+    docs = parse(texts.select(doc), doc)
+    broken = docs.where(F.col(doc).isNull()).count()
+    docs = docs.where(F.col(doc).isNotNull())
     if plan.root.id_name != "idx":
-        keyed = docs.select(document_id(plan, F.col(doc)).alias("__id"), F.to_json(doc).alias("__text"))
-        docs = keyed.groupBy("__id").agg(F.min("__text").alias(doc)).select(doc)
-        docs.write.mode("overwrite").parquet(f"{folder}/_documents")
+        names = (F.try_variant_get(F.col(doc), f"$['{n}']", "variant") for n in ("_id", "id"))
+        raw = F.coalesce(*[F.when(~F.is_variant_null(v), F.to_json(v)) for v in names])
+        keyed = docs.select(raw.alias("__id"), F.to_json(doc).alias("__text"))
+        unique = keyed.where("__id IS NOT NULL").groupBy("__id").agg(F.min("__text").alias(doc)).select(doc)
+        unique.unionByName(keyed.where("__id IS NULL").select(F.col("__text").alias(doc))).write.mode("overwrite").parquet(f"{folder}/_documents")
         docs = parse(spark.read.parquet(f"{folder}/_documents"), doc)
     counts = {}
     for name, rows in flatten_all(docs, plan, doc).items():
@@ -67,7 +72,8 @@ def init_load(texts: DataFrame, plan: FlattenPlan, folder: str, doc: str = "doc"
             rows.write.mode("overwrite").format(file_format).save(target)
             counts[name] = spark.read.format(file_format).load(target).count()
     spark.createDataFrame([(script(plan),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/_ddl")
-    stats = [(f"{n} {c}",) for n, c in counts.items()]
+    errors = [(f"error {r.table}.{r.column} {r.errors}",) for r in type_errors(docs, plan, doc).orderBy("table", "column").collect()]
+    stats = [(f"{n} {c}",) for n, c in counts.items()] + ([(f"error json {broken}",)] if broken else []) + errors
     spark.createDataFrame(stats, "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/_stats")
     return counts
 

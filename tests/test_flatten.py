@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docrel.functions import codec
 from docrel.operators import flatten as flat
 from docrel.operators import load, nest
-from docrel.plans.schema import FlattenPlan
+from docrel.plans.schema import FlattenPlan, parse_schema
 from docrel.sources.readers import find_documents, read_documents, read_tsv, rows_by_ids, tables_by_ids
 from tests.test_plans import INSERTS, OID, POSTS2
 
@@ -128,3 +128,12 @@ def test_reading_and_finding(spark, tmp_path):
     chosen = tables_by_ids(docs, wanted, plan)
     assert sorted(r.id for r in chosen["t"].collect()) == [1, 3]
     assert [r.id for r in rows_by_ids(flat.flatten_all(docs, plan), wanted, plan)["t"].collect()] == [1, 3]
+
+
+def test_load_keeps_documents_without_an_id(spark, tmp_path):
+    plan = parse_schema('{"_id": "INT", "v": "STRING"}', "things")
+    texts = spark.createDataFrame([(x,) for x in ('{"_id": 1, "v": "a"}', '{"_id": 1, "v": "b"}', '{"v": "c"}', '{"_id": null, "v": "d"}', '{"_id": "x", "v": 5}', "{broken")], "doc string")
+    assert load.init_load(texts, plan, str(tmp_path)) == {"things": 4}
+    found = spark.read.parquet(f"{tmp_path}/things")
+    assert sorted((str(r.id), str(r.v)) for r in found.collect()) == [("1", "a"), ("None", "None"), ("None", "c"), ("None", "d")]
+    assert {r.value for r in spark.read.text(f"{tmp_path}/_stats").collect()} == {"things 4", "error json 1", "error things.id 1", "error things.v 1"}
