@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docrel.llm.shared import checkpointed, connected_components, free_shuffles
@@ -122,6 +122,8 @@ def _component_table(rows: DataFrame) -> DataFrame:
 SET_WORDS, SIMILARITY = 5, 0.8
 #: First shingles of a prefix by which sets first meet one leader only.
 LEADERS = 24
+#: Lists before one in which a pair that meets there may have met; further ones cost more than the repeated pairs.
+BEFORE = 8
 #: Longs, of 64 bits each, of the parity map of a small set; larger sets have maps of twice, four times... as many.
 MARKS, MARKED = 16, 256
 #: Texts sampled for shingles that many texts share, which go last in the order of prefixes; most such shingles.
@@ -248,7 +250,9 @@ def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int
     SimHashes meet at anchors. That alone misses most pairs at the least similarity, so sets also meet by each shingle of
     their prefixes that another set has too, where no similar pair is missed: first only with the smallest set that has
     it, which makes large groups of near copies components without all their pairs, then all, but for those of one
-    component, which would change nothing. Parity maps and whole sets decide.
+    component, which would change nothing. Shingles that the same sets hold count once, and a pair that met in one of
+    the few lists that both sides had just before is not made again: its first meeting is always made, as all sets have
+    their shingles in one order. Parity maps and whole sets decide.
     """
     classes = checkpointed(rows.where("sid <> 0").groupBy("sid").agg(*[F.min(c).alias(c) for c in ("hash", "n", "fp")], F.first("marks").alias("marks")))
     decide = lambda near: checkpointed(_verified(docs, classes, near, text, hashed, words, similarity))
@@ -268,19 +272,40 @@ def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int
     free_shuffles(docs.sparkSession)
     named = checkpointed(met.join(parts.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid")))
     # pairs of components come before pairs of texts: the pairs within a large one are never made
-    mixed = named.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("shingle")
-    open_ = checkpointed(named.join(mixed, "shingle"))
-    groups = open_.select("shingle", "component").distinct()
-    a, b = (groups.withColumnRenamed("component", n) for n in ("ucomponent", "vcomponent"))
-    sides = a.join(b, "shingle").where("ucomponent < vcomponent")
-    u, v = (open_.select("shingle", F.col("component").alias(f"{x}component"), F.col("sid").alias(x), F.col("n").alias(f"{x}n"), F.col("at").alias(f"{x}at")) for x in "uv")
+    lists = _lists(named)
+    spans = named.join(lists, "shingle").groupBy("list", "sid").agg(*[F.min(c).alias(c) for c in ("component", "n", "at")])
+    order = Window.partitionBy("sid").orderBy("at")
+    open_ = checkpointed(spans.withColumns({f"p{i}": F.lag("list", i).over(order) for i in range(1, BEFORE + 1)}))
+    # what all members of a component that are in a list met before
+    alike = [F.when((F.count(p) == F.count(F.lit(1))) & (F.min(p) == F.max(p)), F.min(p)) for p in (f"p{i}" for i in range(1, BEFORE + 1))]
+    groups = checkpointed(open_.groupBy("list", "component").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("at")).alias("rest"), F.array_compact(F.array(*alike)).alias("before")))
+    shares = similarity / (1 + similarity)
+    a, b = (groups.select("list", *[F.col(c).alias(f"{x}{c}") for c in groups.columns[1:]]) for x in "uv")
     # by its first common shingle a pair shares no more than what follows on either side
-    most = F.least(F.col("un") - F.col("uat"), F.col("vn") - F.col("vat"))
-    pairs = sides.join(u, ["shingle", "ucomponent"]).join(v, ["shingle", "vcomponent"]).where(sized & (most >= similarity / (1 + similarity) * (F.col("un") + F.col("vn")) - 1e-6))
+    fit = ((F.col("umost") >= similarity * F.col("vleast") - 1e-9) & (F.col("vmost") >= similarity * F.col("uleast") - 1e-9)
+           & (F.least("urest", "vrest") >= shares * (F.col("uleast") + F.col("vleast")) - 1e-6))
+    new = ~F.arrays_overlap("ubefore", "vbefore")
+    sides = a.join(b, "list").where((F.col("ucomponent") < F.col("vcomponent")) & fit & new).select("list", "ucomponent", "vcomponent")
+    before = F.array_compact(F.array(*[F.col(f"p{i}") for i in range(1, BEFORE + 1)]))
+    u, v = (open_.select("list", F.col("component").alias(f"{x}component"), F.col("sid").alias(x), F.col("n").alias(f"{x}n"),
+                         (F.col("n") - F.col("at")).alias(f"{x}rest"), before.alias(f"{x}before")) for x in "uv")
+    most = F.least("urest", "vrest") >= shares * (F.col("un") + F.col("vn")) - 1e-6
+    pairs = sides.join(u, ["list", "ucomponent"]).join(v, ["list", "vcomponent"]).where(sized & most & new)
     second = decide(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     return first.union(second)
 
 
+def _lists(named: DataFrame) -> DataFrame:
+    """``shingle, list`` of the shingles that several components hold; those that the same sets hold have one ``list``.
+
+    Lists compare by their length and two 64-bit hashes of what they hold.
+    """
+    own = F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64("sid")), F.bit_xor(F.xxhash64("sid", F.lit(1)))).alias("holds")
+    lists = checkpointed(named.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b"), own).where("a < b").select("shingle", "holds"))
+    return lists.join(lists.groupBy("holds").agg(F.min("shingle").alias("list")), "holds").select("shingle", "list")
+
+
 def _verified(docs: DataFrame, classes: DataFrame, near: DataFrame, text: str, hashed, words: int, similarity: float) -> DataFrame:
     """The pairs of ``near`` whose whole sets are similar.
 
