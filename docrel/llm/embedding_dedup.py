@@ -61,8 +61,9 @@ def near_vectors(vectors: DataFrame, threshold: float = COSINE, key: str = "vec_
     """``key, n_links, component_id, kept`` of every vector; links join equal labels at a cosine of ``threshold`` or more.
 
     Equal vectors of a label are one class, so copies are never compared; classes travel as 64-bit hashes. Cells
-    that hold one class alone are dropped before vectors are fetched. Two classes meet in the first table in
-    which their cells agree and in no other, so each link is found once and no pair is shuffled for removal.
+    that hold one class alone, or the classes of a cell of an earlier table (by their number and two 64-bit hashes),
+    are dropped before vectors are fetched. Two classes meet in the first table in which their cells agree and in no
+    other, so each link is found once and no pair is shuffled for removal.
     Exact link counts need every pair of a dense group to be judged; a cell's rows are split by skew handling.
 
     Null labels, null, empty and zero vectors and those with null or non-finite components link with nothing:
@@ -82,7 +83,10 @@ def near_vectors(vectors: DataFrame, threshold: float = COSINE, key: str = "vec_
         "cells": cells(width, projections, tables)("x")}))
     spots = classes.select("node", "label", "dims", F.posexplode("cells").alias("t", "cell"))
     spots = checkpointed(spots)
-    shared = spots.groupBy("label", "dims", "t", "cell").agg(F.count(F.lit(1)).alias("many")).where("many > 1").drop("many")
+    # cells that hold the same classes meet once, in the first of their tables
+    holds = [F.count(F.lit(1)).alias("many"), F.bit_xor(F.xxhash64("node")).alias("these"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("those")]
+    shared = (spots.groupBy("label", "dims", "t", "cell").agg(*holds).where("many > 1")
+              .groupBy("label", "dims", "many", "these", "those").agg(F.min(F.struct("t", "cell")).alias("at")).select("label", "dims", "at.t", "at.cell"))
     met = spots.join(checkpointed(shared), ["label", "dims", "t", "cell"])
     full = met.join(classes.select("node", "x", "norm", "cells", "n"), "node")
     here, there = (full.select("label", "dims", "t", "cell", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "x", "norm", "cells", "n")]) for s in "ab")
