@@ -286,12 +286,17 @@ def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int
     fit = ((F.col("umost") >= similarity * F.col("vleast") - 1e-9) & (F.col("vmost") >= similarity * F.col("uleast") - 1e-9)
            & (F.least("urest", "vrest") >= shares * (F.col("uleast") + F.col("vleast")) - 1e-6))
     new = ~F.arrays_overlap("ubefore", "vbefore")
-    sides = a.join(b, "list").where((F.col("ucomponent") < F.col("vcomponent")) & fit & new).select("list", "ucomponent", "vcomponent")
+    sides = a.join(b, "list").where((F.col("ucomponent") < F.col("vcomponent")) & fit & new).select(
+        "list", "ucomponent", "vcomponent", "vleast", "vmost", "vrest", "vbefore")
     before = F.array_compact(F.array(*[F.col(f"p{i}") for i in range(1, BEFORE + 1)]))
     u, v = (open_.select("list", F.col("component").alias(f"{x}component"), F.col("sid").alias(x), F.col("n").alias(f"{x}n"),
                          (F.col("n") - F.col("at")).alias(f"{x}rest"), before.alias(f"{x}before")) for x in "uv")
+    # a set of one side that cannot be similar to any of the other, or met all of them before, goes before pairs are made
+    one = ((F.col("vmost") >= similarity * F.col("un") - 1e-9) & (F.col("un") >= similarity * F.col("vleast") - 1e-9)
+           & (F.least("urest", "vrest") >= shares * (F.col("un") + F.col("vleast")) - 1e-6))
+    open_sides = sides.join(u, ["list", "ucomponent"]).where(one & new).drop("vleast", "vmost", "vrest", "vbefore")
     most = F.least("urest", "vrest") >= shares * (F.col("un") + F.col("vn")) - 1e-6
-    pairs = sides.join(u, ["list", "ucomponent"]).join(v, ["list", "vcomponent"]).where(sized & most & new)
+    pairs = open_sides.join(v, ["list", "vcomponent"]).where(sized & most & new)
     second = decide(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     return first.union(second)
 
