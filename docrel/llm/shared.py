@@ -26,11 +26,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder, so that its lineage ends and a lost executor costs nothing of it."""
-    folder = shared_folder(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    """``df`` written to the shared folder, so that its lineage ends and a lost executor costs nothing of it.
+
+    Its size as Spark's planner takes it is bounded, too. The planner multiplies the sizes of what a join reads and hands
+    the product on through a checkpoint: in a loop of joins its digits multiply each round, until numbers of millions of
+    digits fill the driver. A size beyond a long says nothing, and what stands for it is the one of a table of unknown size.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    done = df.checkpoint()
+    plan = done._jdf.queryExecution().analyzed()
+    if plan.stats().sizeInBytes() < 2**63:
+        return done
+    some = spark._jvm.scala.Option
+    plain = plan.copy(plan.output(), plan.rdd(), plan.outputPartitioning(), plan.outputOrdering(), plan.isStreaming(), plan.stream(),
+                      spark._jsparkSession, some.empty(), some.apply(plan.constraints()))
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plain), spark)
 
 
 def free_shuffles(spark: SparkSession) -> None:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from docrel.llm import decontaminate, embedding_dedup, line_dedup, mixing, quality, secrets, sharding, simhash, url_filter, warc_zip
-from docrel.llm.shared import connected_components
+from docrel.llm.shared import checkpointed, connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -652,3 +652,17 @@ def test_parity_maps_bound_what_sets_do_not_share(spark):
     found = spark.createDataFrame(rows, "most int, a array<long>, b array<long>").select("most", simhash.bits_apart(F.col("a"), F.col("b")).alias("apart"), F.size("a").alias("n"), F.size("b").alias("m")).collect()
     near = [r for r in found if r.n <= 2 * r.m]
     assert len(near) > 30 and any(r.n != r.m for r in near) and all(r.apart <= r.most and (r.most - r.apart) % 2 == 0 for r in near)
+
+
+def test_planned_sizes_stay_bounded_in_loops_of_joins(spark):
+    before = spark.createDataFrame([(i, i // 2) for i in range(64)], "node long, root long")
+    to = before
+    for _ in range(4):
+        a, b = to, to.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        to = checkpointed(a.join(b, "root").select("node", F.col("next").alias("root")))
+        assert to._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2**63
+    assert to.columns == ["node", "root"] and sorted(map(tuple, to.collect())) == [(i, i >> 16) for i in range(64)]
+    path = list(range(0, 600, 7)) + list(range(3, 600, 7))
+    parts = connected_components(spark.createDataFrame(list(zip(path, path[1:])), "u long, v long"))
+    assert parts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2**70
+    assert {tuple(r) for r in parts.collect()} == {(i, 0) for i in path}
