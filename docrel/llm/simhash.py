@@ -122,14 +122,15 @@ def _component_table(rows: DataFrame) -> DataFrame:
 SET_WORDS, SIMILARITY = 5, 0.8
 #: First shingles of a prefix by which sets first meet one leader only.
 LEADERS = 24
+#: Sets that a list draws in the first round, times as many in each further one, and sets for each drawn one that a list needs.
+DRAWN, MORE, CROWD = 2, 4, 8
 #: Lists before one in which a pair that meets there may have met; further ones cost more than the repeated pairs.
 BEFORE = 8
 #: Longs, of 64 bits each, of the parity map of a small set; larger sets have maps of twice, four times... as many.
 MARKS, MARKED = 16, 256
 #: Texts sampled for shingles that many texts share, which go last in the order of prefixes; most such shingles.
 SAMPLE, FREQUENT = 5_000, 50_000
-#: Shingles, hashes of candidates and hashes of dropped rows are broadcast up to so many rows of two longs; beyond, they
-#: are joined.
+#: Hashes of candidates and of dropped rows are broadcast up to so many rows of two longs; beyond, they are joined.
 BROADCAST_ROWS = 500_000
 
 
@@ -249,17 +250,15 @@ def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int
 
     SimHashes meet at anchors. That alone misses most pairs at the least similarity, so sets also meet by each shingle of
     their prefixes that another set has too, where no similar pair is missed: first only with the smallest set that has
-    it, which makes large groups of near copies components without all their pairs, then all, but for those of one
-    component, which would change nothing. Shingles that the same sets hold count once, and a pair that met in one of
+    it, which makes large groups of near copies components without all their pairs, then, where many share it, with
+    a few that are drawn for each shingle, more in each round, as the smallest may be similar to few of a group, then
+    all, but for those of one component, which would change nothing. Shingles that the same sets hold count once, and a pair that met in one of
     the few lists that both sides had just before is not made again: its first meeting is always made, as all sets have
     their shingles in one order. Parity maps and whole sets decide.
     """
     classes = checkpointed(rows.where("sid <> 0").groupBy("sid").agg(*[F.min(c).alias(c) for c in ("hash", "n", "fp")], F.first("marks").alias("marks")))
     decide = lambda near: checkpointed(_verified(docs, classes, near, text, hashed, words, similarity))
-    spots = rows.where("sid <> 0").select("sid", "n", F.posexplode("prefix").alias("at", "shingle"))
-    often = spots.groupBy("shingle").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a < b").select("shingle")
-    # copies have one set, which meets others once
-    met = checkpointed(spots.join(_few(checkpointed(often)), "shingle").groupBy("shingle", "sid").agg(F.min("n").alias("n"), F.min("at").alias("at")))
+    met = checkpointed(_shared_shingles(rows))
     free_shuffles(docs.sparkSession)
 
     sized = F.least("un", "vn") >= similarity * F.greatest("un", "vn") - 1e-9
@@ -268,21 +267,31 @@ def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int
     led = early.select("shingle", F.col("sid").alias("u"), F.col("n").alias("un")).join(leaders, "shingle").where("u <> v").where(sized)
     first = decide(anchor_pairs(classes).union(led.select(F.least("u", "v"), F.greatest("u", "v"))).distinct())
 
-    parts = connected_components(first)
+    named = _named(met, first)
     free_shuffles(docs.sparkSession)
-    named = checkpointed(met.join(parts.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid")))
     # pairs of components come before pairs of texts: the pairs within a large one are never made
     lists = _lists(named)
     spans = named.join(lists, "shingle").groupBy("list", "sid").agg(*[F.min(c).alias(c) for c in ("component", "n", "at")])
     order = Window.partitionBy("sid").orderBy("at")
     open_ = checkpointed(spans.withColumns({f"p{i}": F.lag("list", i).over(order) for i in range(1, BEFORE + 1)}))
+    shares = similarity / (1 + similarity)
+    # by its first common shingle a pair shares no more than what follows on either side
+    most = F.least("urest", "vrest") >= shares * (F.col("un") + F.col("vn")) - 1e-6
+    links = first
+    draws = DRAWN
+    while not (crowded := _crowded(open_, draws)).isEmpty():
+        drawn = _drawn(open_, crowded, draws).where(sized & most)
+        more = decide(checkpointed(drawn.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
+        if not more.isEmpty():
+            links = checkpointed(links.union(more))
+            open_ = _named(open_.drop("component"), links)
+        free_shuffles(docs.sparkSession)
+        draws *= MORE
     # what all members of a component that are in a list met before
     alike = [F.when((F.count(p) == F.count(F.lit(1))) & (F.min(p) == F.max(p)), F.min(p)) for p in (f"p{i}" for i in range(1, BEFORE + 1))]
     groups = checkpointed(open_.groupBy("list", "component").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("at")).alias("rest"), F.array_compact(F.array(*alike)).alias("before")))
-    shares = similarity / (1 + similarity)
     a, b = (groups.select("list", *[F.col(c).alias(f"{x}{c}") for c in groups.columns[1:]]) for x in "uv")
-    # by its first common shingle a pair shares no more than what follows on either side
     fit = ((F.col("umost") >= similarity * F.col("vleast") - 1e-9) & (F.col("vmost") >= similarity * F.col("uleast") - 1e-9)
            & (F.least("urest", "vrest") >= shares * (F.col("uleast") + F.col("vleast")) - 1e-6))
     new = ~F.arrays_overlap("ubefore", "vbefore")
@@ -295,10 +304,42 @@ def similar_sets(docs: DataFrame, rows: DataFrame, text: str, hashed, words: int
     one = ((F.col("vmost") >= similarity * F.col("un") - 1e-9) & (F.col("un") >= similarity * F.col("vleast") - 1e-9)
            & (F.least("urest", "vrest") >= shares * (F.col("un") + F.col("vleast")) - 1e-6))
     open_sides = sides.join(u, ["list", "ucomponent"]).where(one & new).drop("vleast", "vmost", "vrest", "vbefore")
-    most = F.least("urest", "vrest") >= shares * (F.col("un") + F.col("vn")) - 1e-6
     pairs = open_sides.join(v, ["list", "vcomponent"]).where(sized & most & new)
     second = decide(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    return first.union(second)
+    return links.union(second)
+
+
+def _shared_shingles(rows: DataFrame) -> DataFrame:
+    """``shingle, sid, n, at`` of the shingles of prefixes that several sets have; copies have one set, which counts once.
+
+    The rows are dealt out by shingle once, whatever their number.
+    """
+    spots = rows.where("sid <> 0").select("sid", "n", F.posexplode("prefix").alias("at", "shingle"))
+    own = Window.partitionBy("shingle")
+    shared = spots.withColumns({"a": F.min("sid").over(own), "b": F.max("sid").over(own)}).where("a < b")
+    return shared.groupBy("shingle", "sid").agg(F.min("n").alias("n"), F.min("at").alias("at"))
+
+
+def _named(sets: DataFrame, links: DataFrame) -> DataFrame:
+    """``sets`` with the ``component`` of each ``sid`` by ``links``."""
+    parts = connected_components(links).select(F.col("node").alias("sid"), "component")
+    return checkpointed(sets.join(parts, "sid", "left").withColumn("component", F.coalesce("component", "sid")))
+
+
+def _crowded(open_: DataFrame, draws: int) -> DataFrame:
+    """``list, size`` of the lists of several components that hold ``CROWD`` sets or more for each of ``draws``."""
+    sizes = open_.groupBy("list").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("a"), F.max("component").alias("b"))
+    return checkpointed(sizes.where((F.col("size") >= CROWD * draws) & (F.col("a") < F.col("b"))).select("list", "size"))
+
+
+def _drawn(open_: DataFrame, crowded: DataFrame, draws: int) -> DataFrame:
+    """``u, un, urest, v, vn, vrest``: sets of crowded lists, each beside those some ``draws`` of its list that the hash of
+    set and list draws, if of another component. Of all pairs of a list these are a quarter at most, by and large."""
+    own = open_.select("list", "component", "sid", "n", (F.col("n") - F.col("at")).alias("rest"))
+    heads = own.join(crowded, "list").where(F.pmod(F.xxhash64("sid", "list", F.lit(draws)), F.col("size")) < draws)
+    u, v = (x.select("list", F.col("component").alias(f"{y}component"), F.col("sid").alias(y), F.col("n").alias(f"{y}n"), F.col("rest").alias(f"{y}rest"))
+            for x, y in ((own, "u"), (heads, "v")))
+    return u.join(v, "list").where("ucomponent <> vcomponent")
 
 
 def _lists(named: DataFrame) -> DataFrame:

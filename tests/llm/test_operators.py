@@ -222,6 +222,34 @@ def test_small_sets_at_the_least_similarity(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_pairs_of_a_large_group_of_near_copies(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    words, rows = [f"w{i}" for i in range(150)], []
+    for i in range(600):  # two copies are similar if two or three words in all are changed apart; few change one
+        changed = list(words)
+        for at in rng.choice(150, 1 if i % 20 == 0 else 2, replace=False):
+            changed[at] = f"other{i}at{at}"
+        rows.append((i, " ".join(changed)))
+    made, verified = [], simhash._verified
+
+    def counted(docs, classes, near, *more):
+        near = checkpointed(near)
+        made.append(near.count())
+        return verified(docs, classes, near, *more)
+
+    monkeypatch.setattr(simhash, "_verified", counted)
+    got = [r.doc_id for r in simhash.deduplicate(docs_of(spark, rows)).collect()]
+    assert sorted(got) == sorted(jaccard_groups(rows)) and sum(made) < 30 * len(rows), made
+
+
+def test_shared_shingles_are_dealt_out_once(spark):
+    prefixes = [(1, [5, 6, 7]), (2, [6, 8]), (2, [6, 8]), (3, [9, 7]), (4, [10]), (4, [10]), (0, [5, 8])]
+    rows = spark.createDataFrame([(s, 9, p) for s, p in prefixes], "sid long, n int, prefix array<long>")
+    found = simhash._shared_shingles(rows)
+    assert sorted(map(tuple, found.collect())) == [(6, 1, 9, 1), (6, 2, 9, 0), (7, 1, 9, 2), (7, 3, 9, 1)]
+    assert found._jdf.queryExecution().sparkPlan().toString().count("Window") and found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange ") == 1
+
+
 # --- 4
 
 
